@@ -36,6 +36,8 @@ from tagloom.sources.tables import (
 from tagloom.sources.tweets import broken_files, read_tweets, stream_tweets
 from tagloom.streaming.jobs import (
     batch_status,
+    compact_cooccurrence,
+    compact_pairs,
     cooccurrence_totals,
     pair_totals,
     run_cooccurrence,

@@ -17,13 +17,18 @@ words between are not paired. Two ways of counting:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.operators.units import UNIT_KEYS
 from tagloom.schemas import MAX_WINDOW, MIN_WINDOW
 
 MAX_DOUBLINGS = 31  # fixed value: the largest n for which 2^(n-1) fits 32 bits
+MAX_SUMS = 32  # window sizes whose sums share a row
+
+
+def _unordered() -> tuple[Column, Column]:
+    return F.least("a", "b").alias("word1"), F.greatest("a", "b").alias("word2")
 
 
 def endpoint_pairs(
@@ -60,20 +65,20 @@ def count_pairs(
     mode: str = "canonical",
     keys: tuple[str, ...] = UNIT_KEYS,
     copies: str | None = "copies",
+    windows: range | None = None,
 ) -> DataFrame:
     """window_size, word1, word2, word_count from the rows of ``endpoint_pairs``.
 
     ``copies`` names the column with the number of copies of a unit (None: each
-    counts once); ``keys``, needed for literal mode, identify a unit.
+    counts once); ``keys``, needed for literal mode, identify a unit. If the
+    window sizes that occur are given as ``windows``, canonical mode shuffles a
+    row per pair of words instead of one per pair and window size.
     """
     if mode == "canonical":
         weight = F.lit(1) if copies is None else F.col(copies)
-        return (
-            pairs.groupBy(
-                "window_size", F.least("a", "b").alias("word1"), F.greatest("a", "b").alias("word2")
-            )
-            .agg(F.sum(weight).alias("word_count"))
-        )
+        if windows is not None and len(windows) <= MAX_SUMS:
+            return _count_side_by_side(pairs, weight, windows)
+        return pairs.groupBy("window_size", *_unordered()).agg(F.sum(weight).alias("word_count"))
     if mode != "literal":
         raise ValueError(f"mode must be 'canonical' or 'literal', not {mode!r}")
     per_unit = _literal_per_unit(pairs, keys, copies)
@@ -89,6 +94,28 @@ def count_pairs(
     )
 
 
+def _count_side_by_side(pairs: DataFrame, weight: Column, windows: range) -> DataFrame:
+    """Canonical counts by way of one row per pair of words.
+
+    Words that stand together do so at several distances, the more often the
+    more text there is. So the sums for all window sizes are kept in one row.
+    """
+    sums = [
+        F.sum(F.when(F.col("window_size") == k, weight).otherwise(0)).alias(f"count_{k}")
+        for k in windows
+    ]
+    counts = F.array(
+        *(
+            F.struct(F.lit(k).alias("window_size"), F.col(f"count_{k}").alias("word_count"))
+            for k in windows
+        )
+    )
+    rows = pairs.groupBy(*_unordered()).agg(*sums).select("word1", "word2", F.inline(counts))
+    return rows.where(F.col("word_count") > 0).select(
+        "window_size", "word1", "word2", "word_count"
+    )
+
+
 def literal_overflow(
     pairs: DataFrame, keys: tuple[str, ...] = UNIT_KEYS, copies: str | None = "copies"
 ) -> DataFrame:

@@ -58,4 +58,4 @@ def word_pairs(
     """
     texts = batch_text(tweets, batch)
     pairs = unit_pairs(texts, lexicon, unit, kmin, kmax, keyed=mode == "literal")
-    return count_pairs(pairs, mode)
+    return count_pairs(pairs, mode, windows=range(kmin, kmax + 1))

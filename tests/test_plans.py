@@ -1,0 +1,78 @@
+"""What the optimizer makes of the operators."""
+
+import re
+
+import pytest
+
+import tagloom as tl
+from workload import inputs
+
+
+@pytest.fixture
+def sf():
+    return "/root/testdata/sf0.001"
+
+
+def plan(df):
+    """The plan as executed, after adaptive changes."""
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    text = execution.executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange (hash|range|round)\w*", text))
+
+
+def test_scan_reads_needed_columns_and_filters(spark, sf):
+    df = tl.batch_text(inputs.conversations(spark, sf), "user")
+    text = plan(df)
+    assert "EqualTo(role,user)" in text
+    assert "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>" in text
+    assert "ReadSchema: struct<text:string>" in plan(
+        tl.word_pairs(inputs.documents(spark, sf), unit="line")
+    )
+
+
+def test_canonical_stays_in_generated_code(spark, sf):
+    text = plan(tl.word_pairs(inputs.documents(spark, sf), unit="line"))
+    assert exchanges(text) == 2
+    generates = [line for line in text.splitlines() if "Generate" in line]
+    assert generates and all("*(" in line for line in generates)
+    assert "Python" not in text and "InArrow" not in text
+
+
+def test_literal_moves_units_not_pairs(spark, sf):
+    text = plan(tl.word_pairs(inputs.documents(spark, sf), unit="line", mode="literal"))
+    # Distinct units, units by hash, final sums; nothing for windows and sorts.
+    assert exchanges(text) == 3
+
+
+def test_small_lexicon_is_broadcast(spark, sf):
+    turns = inputs.conversations(spark, sf)
+    text = plan(tl.word_pairs(turns, lexicon=inputs.lexicon(spark)))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert exchanges(text) == 4
+
+
+def test_fetch_pushes_dates_to_the_scan(spark, sf):
+    df = tl.fetch_hashtags(
+        inputs.hashtags(spark, sf), inputs.orders(spark, sf), "1-URGENT", "1996-01-01", "1998-12-31"
+    )
+    text = plan(df)
+    assert "GreaterThanOrEqual(o_orderdate" in text and "EqualTo(o_orderpriority" in text
+
+
+def test_cooccurrence_reads_one_shuffle_twice(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tags = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
+            "l_orderkey AS tweet_id", "CAST(l_partkey AS string) AS hashtag"
+        )
+        text = plan(tl.cooccurrence(tags))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "ReusedExchange" in text
+    assert "CartesianProduct" not in text and "collect" not in text
