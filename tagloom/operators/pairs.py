@@ -17,7 +17,7 @@ words between are not paired. Two ways of counting:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.operators.units import UNIT_KEYS
@@ -27,10 +27,6 @@ MAX_DOUBLINGS = 31  # fixed value: the largest n for which 2^(n-1) fits 32 bits
 MAX_SUMS = 32  # window sizes whose sums share a row
 
 
-def _unordered() -> tuple[Column, Column]:
-    return F.least("a", "b").alias("word1"), F.greatest("a", "b").alias("word2")
-
-
 def endpoint_pairs(
     units: DataFrame,
     keys: tuple[str, ...] = (),
@@ -70,47 +66,50 @@ def count_pairs(
     """window_size, word1, word2, word_count from the rows of ``endpoint_pairs``.
 
     ``copies`` names the column with the number of copies of a unit (None: each
-    counts once); ``keys``, needed for literal mode, identify a unit. If the
-    window sizes that occur are given as ``windows``, canonical mode shuffles a
-    row per pair of words instead of one per pair and window size.
+    counts once); ``keys``, needed for literal mode, identify a unit. ``windows``,
+    if given, are the window sizes that occur.
     """
     if mode == "canonical":
         weight = F.lit(1) if copies is None else F.col(copies)
-        if windows is not None and len(windows) <= MAX_SUMS:
-            return _count_side_by_side(pairs, weight, windows)
-        return pairs.groupBy("window_size", *_unordered()).agg(F.sum(weight).alias("word_count"))
+        found = pairs.select(
+            "window_size",
+            F.least("a", "b").alias("word1"),
+            F.greatest("a", "b").alias("word2"),
+            weight.cast("long").alias("counted"),
+        )
+        return _sum_up(found, windows)
     if mode != "literal":
         raise ValueError(f"mode must be 'canonical' or 'literal', not {mode!r}")
-    per_unit = _literal_per_unit(pairs, keys, copies)
-    fits = (F.col("word1") != F.col("word2")) | (F.col("n") <= MAX_DOUBLINGS)
-    counted = per_unit.where(fits).withColumn(
-        "counted",
-        F.when(
-            F.col("word1") == F.col("word2"), F.expr("shiftleft(1L, cast(n - 1 AS int))")
-        ).otherwise(F.col("n") - F.col("turns")),
-    )
-    return counted.groupBy("window_size", "word1", "word2").agg(
-        F.sum(F.col("counted") * F.col("copies")).alias("word_count")
-    )
+    same = F.col("word1") == F.col("word2")
+    doubled = F.expr("shiftleft(1L, cast(n - 1 AS int))")
+    counted = F.when(same, doubled).otherwise(F.col("n") - F.col("turns")) * F.col("copies")
+    fits = ~same | (F.col("n") <= MAX_DOUBLINGS)
+    found = _literal_per_unit(pairs, keys, copies).where(fits)
+    return _sum_up(found.select("window_size", "word1", "word2", counted.alias("counted")), windows)
 
 
-def _count_side_by_side(pairs: DataFrame, weight: Column, windows: range) -> DataFrame:
-    """Canonical counts by way of one row per pair of words.
+def _sum_up(found: DataFrame, windows: range | None) -> DataFrame:
+    """Sum of ``counted`` per (window_size, word1, word2).
 
     Words that stand together do so at several distances, the more often the
-    more text there is. So the sums for all window sizes are kept in one row.
+    more text there is. So with known ``windows`` the sums for all window sizes
+    are kept in one row per pair of words, and only such rows are shuffled.
     """
+    if windows is None or len(windows) > MAX_SUMS:
+        return found.groupBy("window_size", "word1", "word2").agg(
+            F.sum("counted").alias("word_count")
+        )
     sums = [
-        F.sum(F.when(F.col("window_size") == k, weight).otherwise(0)).alias(f"count_{k}")
+        F.sum(F.when(F.col("window_size") == k, F.col("counted")).otherwise(0)).alias(f"sum_{k}")
         for k in windows
     ]
-    counts = F.array(
+    by_window = F.array(
         *(
-            F.struct(F.lit(k).alias("window_size"), F.col(f"count_{k}").alias("word_count"))
+            F.struct(F.lit(k).alias("window_size"), F.col(f"sum_{k}").alias("word_count"))
             for k in windows
         )
     )
-    rows = pairs.groupBy(*_unordered()).agg(*sums).select("word1", "word2", F.inline(counts))
+    rows = found.groupBy("word1", "word2").agg(*sums).select("word1", "word2", F.inline(by_window))
     return rows.where(F.col("word_count") > 0).select(
         "window_size", "word1", "word2", "word_count"
     )

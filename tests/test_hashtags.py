@@ -62,6 +62,16 @@ def test_fetch(spark, rows):
     assert found.count() == 6
 
 
+def test_rebuild(spark, rows, tmp_path):
+    posts = spark.createDataFrame(
+        [(1, 1, "x"), (2, 1, "x"), (3, 1, "x")], "tweet_id long, author_id long, batch_name string"
+    ).selectExpr("*", "TIMESTAMP_NTZ'2022-01-01' AS created_at")
+    for _ in range(2):
+        tl.rebuild_network(tags(spark), posts, str(tmp_path / "net"))
+        assert rows(tl.read_cooccurrence(spark, str(tmp_path / "net"))) == EDGES
+    assert rows(tl.hashtag_network(tags(spark), posts, batch="y")) == []
+
+
 def test_network(spark, rows):
     edges = tl.network_edges(tl.cooccurrence(tags(spark)))
     assert rows(edges)[0] == ("bad", "HT", "sol", "HT", 2)

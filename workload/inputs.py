@@ -69,25 +69,21 @@ def hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _missing(condition, value):
-    return F.when(~condition, value)
-
-
 def order_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as nested posts, with missing and misfit values here and there.
 
     tweet_id, batch_name, json; nulls are left out of the JSON.
     """
-    tags = (
-        hashtags(spark, sf_dir)
-        .groupBy("tweet_id")
-        .agg(F.collect_list(F.struct(F.col("hashtag").alias("tag"))).alias("tags"))
-    )
-    posts = table(spark, sf_dir, "orders").join(
-        tags, F.col("o_orderkey") == F.col("tweet_id"), "left"
-    )
     key = F.col("o_orderkey")
     customer = F.col("o_custkey").cast("string")
+    tags = F.array(
+        "o_orderstatus",
+        F.lower("o_orderstatus"),
+        F.substring("o_orderpriority", 3, 20),
+        F.concat(F.lit("Cust"), F.col("o_custkey") % 40),
+        F.concat(F.lit("Month"), F.month("o_orderdate")),
+    )
+    some_tags = F.when(key % 9 == 0, F.slice(tags, 1, 0)).otherwise(tags)
     post = F.struct(
         key.cast("string").alias("id"),
         F.col("o_custkey").alias("conversation_id"),
@@ -96,19 +92,20 @@ def order_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("author_id"),
         F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("text"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
-        _missing(
-            key % 5 == 0,
+        F.when(
+            key % 5 != 0,
             F.struct(
                 F.floor("o_totalprice").alias("retweet_count"),
-                _missing(key % 2 == 0, F.lit("7")).alias("reply_count"),
+                F.when(key % 2 != 0, F.lit("7")).alias("reply_count"),
                 (key % 100).cast("string").alias("like_count"),
             ),
         ).alias("public_metrics"),
-        _missing(F.col("tags").isNull(), F.struct(F.col("tags").alias("hashtags"))).alias(
-            "entities"
-        ),
+        F.when(
+            key % 7 != 0,
+            F.struct(F.transform(some_tags, lambda t: F.struct(t.alias("tag"))).alias("hashtags")),
+        ).alias("entities"),
     )
-    return posts.select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("tweet_id"),
         F.col("o_orderpriority").alias("batch_name"),
         F.to_json(post).alias("json"),
@@ -132,20 +129,24 @@ def raw_posts(posts: DataFrame) -> DataFrame:
     return posts.select(
         F.col("batch_name").alias("file"),
         "batch_name",
-        F.col("tweet_id").cast("int").alias("pos"),
+        (F.col("tweet_id") % 1000).cast("int").alias("pos"),
         F.from_json("json", POST).alias("post"),
     )
 
 
-def post_files(posts: DataFrame, ids_per_file: int) -> str:
+def post_files(posts: DataFrame, posts_per_file: int) -> str:
     """Write posts as JSON files, a folder per batch, and return their folder.
 
-    A file is one object with the posts of one batch and ``ids_per_file`` ids.
+    A file is one object with posts of one batch: those of a stretch of rows of
+    the table, so that no file grows with the size of a batch.
     """
     folder = fresh_dir(posts.sparkSession, "posts")
-    files = posts.groupBy(
-        "batch_name", F.floor(F.col("tweet_id") / ids_per_file).alias("part")
-    ).agg(F.collect_list(F.from_json("json", POST)).alias("data"))
+    stretch = F.floor(F.monotonically_increasing_id() / posts_per_file)
+    files = (
+        posts.withColumn("stretch", stretch)
+        .groupBy("batch_name", "stretch")
+        .agg(F.collect_list(F.from_json("json", POST)).alias("data"))
+    )
     (
         files.select("batch_name", "data")
         .write.option("maxRecordsPerFile", 1)

@@ -135,6 +135,15 @@ posts AS (
     0 AS quote_count, o_orderdate AS created_at, o_orderpriority AS batch_name
   FROM orders)"""
 
+# Hashtags of the nested posts, one row per tag.
+POST_TAGS = """
+post_tags AS (
+  SELECT o_orderkey AS tweet_id, 'batch_name=' || o_orderpriority AS batch_name,
+         o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0 AS has_author,
+         unnest([o_orderstatus, lower(o_orderstatus), substring(o_orderpriority, 3, 20),
+                 'Cust' || (o_custkey % 40), 'Month' || month(o_orderdate)]) AS hashtag
+  FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 9 <> 0)"""
+
 NEXT_FIT = """
 WITH RECURSIVE items AS (
   SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn
@@ -203,8 +212,7 @@ units AS (SELECT tweet_id, string_split(lemmas, ' ') AS ws FROM lemmas),
 {_pairs('units', 'tweet_id')}
 {COUNT}""",
     "unpack_tweets": f"WITH {POSTS} SELECT * FROM posts",
-    "unpack_hashtags": f"WITH {HASHTAGS} SELECT tweet_id, hashtag FROM hashtags JOIN orders "
-    "ON o_orderkey = tweet_id",
+    "unpack_hashtags": f"WITH {POST_TAGS} SELECT tweet_id, hashtag FROM post_tags",
     "read_tweets": f"WITH {POSTS} SELECT tweet_id, text, like_count, "
     "'batch_name=' || batch_name AS batch_name FROM posts",
     "bad_rows": """
@@ -226,10 +234,7 @@ SELECT tweet_id, hashtag FROM hashtags
 WHERE tweet_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW')""",
     "ingest_tweets": f"WITH {TURNS} SELECT tweet_id, text FROM turns",
     "ingest_hashtags": f"""
-WITH {HASHTAGS}
-SELECT tweet_id, hashtag, 'batch_name=' || o_orderpriority AS batch_name
-FROM hashtags JOIN orders ON o_orderkey = tweet_id
-WHERE o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0""",
+WITH {POST_TAGS} SELECT tweet_id, hashtag, batch_name FROM post_tags WHERE has_author""",
     "next_fit_batches": NEXT_FIT,
     "batches_of_folder": r"""
 SELECT DISTINCT source AS batch_name FROM documents
@@ -264,6 +269,13 @@ SELECT tweet_id, array_to_string(tags, ',') AS hashtags FROM sets WHERE len(tags
     "set_pairs": SET_PAIRS,
     "hashtag_pairs": SET_PAIRS,
     "cooccurrence": f"WITH {EDGES} SELECT * FROM edges",
+    "hashtag_network": f"""
+WITH {HASHTAGS},
+tags AS (
+  SELECT DISTINCT tweet_id, lower(hashtag) AS hashtag FROM hashtags JOIN orders
+  ON tweet_id = o_orderkey AND o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-12-31')
+SELECT x.hashtag AS hashtag1, y.hashtag AS hashtag2, count(*) AS weight
+FROM tags x JOIN tags y ON x.tweet_id = y.tweet_id AND x.hashtag < y.hashtag GROUP BY ALL""",
     "network_edges": f"""
 WITH {EDGES}
 SELECT hashtag1 AS from_actor, 'HT' AS from_layer, hashtag2 AS to_actor, 'HT' AS to_layer, weight
@@ -284,11 +296,9 @@ FROM (SELECT * FROM edges UNION ALL SELECT 'brand#1', 'brand#2', 5) GROUP BY ALL
 SELECT DISTINCT 'batch_name=' || role AS batch_name, 'SUCCESS' AS batch_status
 FROM conversations""",
     "stream_cooccurrence": f"""
-WITH {HASHTAGS},
+WITH {POST_TAGS},
 tags AS (
-  SELECT DISTINCT tweet_id, lower(hashtag) AS hashtag
-  FROM hashtags JOIN orders ON o_orderkey = tweet_id
-  WHERE o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0)
+  SELECT DISTINCT tweet_id, lower(hashtag) AS hashtag FROM post_tags WHERE has_author)
 SELECT x.hashtag AS hashtag1, y.hashtag AS hashtag2, count(*) AS weight
 FROM tags x JOIN tags y ON x.tweet_id = y.tweet_id AND x.hashtag < y.hashtag
 GROUP BY ALL""",

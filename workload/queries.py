@@ -119,7 +119,7 @@ def unpack_hashtags(spark, sf):
 
 @query
 def read_tweets(spark, sf):
-    folder = i.post_files(i.order_posts(spark, sf), 1000)
+    folder = i.post_files(i.order_posts(spark, sf), 5000)
     return tl.unpack_tweets(tl.read_tweets(spark, folder)).select(
         "tweet_id", "text", "like_count", "batch_name"
     )
@@ -171,7 +171,7 @@ def orphans(spark, sf):
 
 @query
 def ingest_tweets(spark, sf):
-    folder = i.post_files(i.conversation_posts(spark, sf, repeats=True), 20_000)
+    folder = i.post_files(i.conversation_posts(spark, sf, repeats=True), 100)
     out = fresh_dir(spark, "ingest")
     tl.write_ingest(tl.read_tweets(spark, folder), out)
     return spark.read.parquet(f"{out}/tweets").select("tweet_id", "text")
@@ -179,7 +179,7 @@ def ingest_tweets(spark, sf):
 
 @query
 def ingest_hashtags(spark, sf):
-    folder = i.post_files(i.order_posts(spark, sf), 1000)
+    folder = i.post_files(i.order_posts(spark, sf), 5000)
     out = fresh_dir(spark, "ingest")
     tl.write_ingest(tl.read_tweets(spark, folder), out)
     return spark.read.parquet(f"{out}/hashtags").select("tweet_id", "hashtag", "batch_name")
@@ -282,6 +282,13 @@ def cooccurrence(spark, sf):
     return tl.cooccurrence(i.hashtags(spark, sf))
 
 
+@query
+def hashtag_network(spark, sf):
+    return tl.hashtag_network(
+        i.hashtags(spark, sf), i.orders(spark, sf), from_date="1997-01-01", to_date="1999-12-31"
+    )
+
+
 @query
 def network_edges(spark, sf):
     return tl.network_edges(cooccurrence(spark, sf))
@@ -327,8 +334,8 @@ def merge_add_one_edge(spark, sf):
 # --- streams ----------------------------------------------------------------
 
 
-def _job(spark, posts, ids_per_file, max_files, run):
-    folder = i.post_files(posts, ids_per_file)
+def _job(spark, posts, posts_per_file, max_files, run):
+    folder = i.post_files(posts, posts_per_file)
     out = fresh_dir(spark, "job")
     run(spark, folder, out, f"{out}/checkpoint", max_files=max_files)
     return out
@@ -337,26 +344,26 @@ def _job(spark, posts, ids_per_file, max_files, run):
 @query
 def stream_pairs(spark, sf):
     posts = i.conversation_posts(spark, sf, repeats=True)
-    out = _job(spark, posts, 20_000, 20, tl.run_word_pairs)
+    out = _job(spark, posts, 100, 20, tl.run_word_pairs)
     return tl.pair_totals(spark, out)
 
 
 @query
 def stream_batch_status(spark, sf):
     posts = i.conversation_posts(spark, sf, repeats=False)
-    out = _job(spark, posts, 20_000, 20, tl.run_word_pairs)
+    out = _job(spark, posts, 200, 20, tl.run_word_pairs)
     return tl.batch_status(spark, out)
 
 
 @query
 def stream_cooccurrence(spark, sf):
-    out = _job(spark, i.order_posts(spark, sf), 1000, 50, tl.run_cooccurrence)
+    out = _job(spark, i.order_posts(spark, sf), 5000, 50, tl.run_cooccurrence)
     return tl.cooccurrence_totals(spark, out)
 
 
 @query
 def running_pairs(spark, sf):
-    folder = i.post_files(i.conversation_posts(spark, sf, repeats=False), 20_000)
+    folder = i.post_files(i.conversation_posts(spark, sf, repeats=False), 100)
     out = fresh_dir(spark, "running")
     counts = tl.running_pairs(tl.stream_tweets(spark, folder, max_files=20))
     (
