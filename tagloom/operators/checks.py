@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.keys import one_per_key
 from tagloom.schemas import HASHTAG_LENGTH
 from tagloom.sources.tables import shared_dir
 
-BROADCAST_ROWS = 1_000_000  # of a few small columns each
+BROADCAST_ROWS = 250_000  # of an id and a place, some 50 MB
 
 
 def _reasons(*rules: tuple[Column, str]) -> Column:
@@ -85,32 +86,33 @@ def mark_duplicates(
     so that wide rows need no shuffle if they prove small enough to broadcast.
     """
     place = F.struct(*order)
-    repeated = (
-        new.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > 1)
-        .drop("_rows")
+    known = new.where(F.col(key).isNotNull())
+    places = known.select(key, place.alias("_place"), F.lit(False).alias("_stored"))
+    if stored is not None:
+        # Of the stored ids only those matter that come again.
+        again = stored.select(key).join(known.select(key).distinct(), key, "left_semi")
+        stored_places = again.select(
+            key,
+            F.lit(None).cast(places.schema["_place"].dataType).alias("_place"),
+            F.lit(True).alias("_stored"),
+        )
+        places = places.unionByName(stored_places)
+    marks = one_per_key(
+        places,
+        key,
+        F.min("_place").alias("_first"),
+        F.count("_place").alias("_rows"),
+        F.bool_or("_stored").alias("_stored"),
     )
+    marks = marks.where((F.col("_rows") > 1) | F.col("_stored")).drop("_rows")
     if sized:
-        repeated = broadcast_if_small(repeated)
-    marked = new.join(repeated, key, "left").withColumn(
-        "is_duplicate", F.coalesce(place > F.col("_first"), F.lit(False))
+        marks = broadcast_if_small(marks)
+    is_duplicate = F.coalesce(F.col("_stored") | (place > F.col("_first")), F.lit(False))
+    return (
+        new.join(marks, key, "left")
+        .withColumn("is_duplicate", is_duplicate)
+        .select(*new.columns, "is_duplicate")
     )
-    if stored is not None:
-        # Only stored ids that occur in ``new`` matter for the join of wide rows.
-        seen = (
-            stored.select(key)
-            .distinct()
-            .join(new.select(key), key, "left_semi")
-            .withColumn("_stored", F.lit(True))
-        )
-        if sized:
-            seen = broadcast_if_small(seen)
-        marked = marked.join(seen, key, "left").withColumn(
-            "is_duplicate", F.col("is_duplicate") | F.coalesce("_stored", F.lit(False))
-        )
-    return marked.select(*new.columns, "is_duplicate")
 
 
 def split_duplicates(

@@ -7,6 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.keys import one_per_key
+
 
 def fetch_hashtags(
     hashtags: DataFrame,
@@ -28,7 +30,7 @@ def fetch_hashtags(
 
 def multi_hashtag(hashtags: DataFrame) -> DataFrame:
     """Rows of posts that have more than one hashtag row."""
-    several = hashtags.groupBy("tweet_id").count().where("count > 1")
+    several = one_per_key(hashtags, "tweet_id", F.count("*").alias("rows")).where("rows > 1")
     return hashtags.join(several, "tweet_id", "left_semi")
 
 

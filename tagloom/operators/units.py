@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import tokens, words
+from tagloom.operators.keys import one_per_key
 
 UNIT_KEYS = ("unit_hash", "unit_no")
 
@@ -77,8 +78,8 @@ def lemmatise(
     The lexicon has no broadcast hint: Spark broadcasts it when its size allows
     and joins by sorting otherwise (splitting frequent words at run time).
     """
-    lemmas = (
-        lexicon.groupBy("form").agg(F.min("lemma").alias("lemma")).withColumn("known", F.lit(True))
+    lemmas = one_per_key(lexicon, "form", F.min("lemma").alias("lemma")).withColumn(
+        "known", F.lit(True)
     )
     spoken = units.select(*keys, *keep, F.posexplode("words").alias("pos", "form"))
     found = spoken.join(lemmas, "form", "left").withColumn(

@@ -76,3 +76,51 @@ def test_cooccurrence_reads_one_shuffle_twice(spark, sf):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "ReusedExchange" in text
     assert "CartesianProduct" not in text and "collect" not in text
+
+
+@pytest.fixture
+def skew(spark):
+    """Small thresholds, so that small data counts as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id + 10 END AS tweet_id",
+        "'f' AS file",
+        "id AS pos",
+        "sha2(CAST(id AS string), 256) AS hashtag",
+    )
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_a_frequent_id_is_split_in_joins(spark, skew):
+    posts = spark.range(60_000).selectExpr(
+        "id AS tweet_id", "id AS author_id", "TIMESTAMP_NTZ'2022-01-01' AS created_at", "'b' AS batch_name"
+    )
+    few = skew.where("CASE WHEN tweet_id = 1 THEN pos < 9000 ELSE pos % 30 = 1 END")
+    for df in [
+        tl.mark_duplicates(skew),
+        tl.mark_duplicates(skew, spark.range(100).selectExpr("id AS tweet_id")),
+        tl.multi_hashtag(skew),
+        tl.fetch_hashtags(skew, posts),
+        tl.orphan_hashtags(skew, posts),
+        tl.cooccurrence(few).selectExpr("sum(weight)"),
+    ]:
+        assert "skew=true" in plan(df)
+
+
+def test_a_frequent_word_is_split_in_the_lexicon_join(spark, skew):
+    lexicon = spark.range(20_000).selectExpr("sha1(CAST(id AS string)) AS form", "'x' AS lemma")
+    spoken = skew.selectExpr(
+        "tweet_id", "pos", "array(CASE WHEN pos % 2 = 0 THEN 'the' ELSE hashtag END) AS words"
+    )
+    lemmas = tl.lemmatise(spoken, lexicon, keys=("tweet_id", "pos"))
+    assert "skew=true" in plan(lemmas)
