@@ -68,9 +68,12 @@ def hashtag_pairs(hashtags: DataFrame) -> DataFrame:
     both sides of the join read the same shuffle, and adaptive execution splits
     a post that holds a large part of the rows.
     """
-    first = hashtags.select("tweet_id", F.lower("hashtag").alias("hashtag1")).distinct()
-    second = first.withColumnRenamed("hashtag1", "hashtag2")
-    return first.join(second, "tweet_id").where(F.col("hashtag1") < F.col("hashtag2"))
+    tags = hashtags.select("tweet_id", F.lower("hashtag").alias("tag")).distinct()
+    # Names are given after the join: with equal sides the shuffle is shared.
+    pairs = tags.alias("x").join(tags.alias("y"), "tweet_id").where("x.tag < y.tag")
+    return pairs.select(
+        "tweet_id", F.col("x.tag").alias("hashtag1"), F.col("y.tag").alias("hashtag2")
+    )
 
 
 def cooccurrence(hashtags: DataFrame) -> DataFrame:

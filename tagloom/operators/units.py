@@ -81,12 +81,12 @@ def lemmatise(
     lemmas = one_per_key(lexicon, "form", F.min("lemma").alias("lemma")).withColumn(
         "known", F.lit(True)
     )
-    spoken = units.select(*keys, *keep, F.posexplode("words").alias("pos", "form"))
+    spoken = units.select(*keys, *keep, F.posexplode("words").alias("_pos", "form"))
     found = spoken.join(lemmas, "form", "left").withColumn(
         "lemma", F.when(F.col("known"), F.col("lemma")).otherwise(F.col("form"))
     )
     kept = found.where(F.length(F.trim("lemma")) > 0)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "lemma")))
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", "lemma")))
     text = kept.groupBy(*keys, *keep).agg(ordered.alias("spoken")).select(
         *keys, *keep, F.array_join(F.col("spoken.lemma"), " ").alias("text")
     )
