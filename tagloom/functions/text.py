@@ -31,7 +31,9 @@ def clean_text(
     """Lower-case, drop URLs, special characters and digits, collapse whitespace."""
     out = F.lower(_column(text))
     if remove_urls:
-        out = F.regexp_replace(out, URL, "")
+        # A plain search first: most texts need no pattern matching.
+        has_url = out.contains("http") | out.contains("www")
+        out = F.when(has_url, F.regexp_replace(out, URL, "")).otherwise(out)
     if remove_special_chars:
         out = F.regexp_replace(out, SPECIAL, "")
     # Without special characters there is no digit left to remove.

@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.schemas import ALL_BATCHES, COOCCURRENCE, TABLES
 
@@ -59,12 +61,33 @@ def reset_tables(spark: SparkSession, database: str, names: tuple[str, ...] = tu
         empty.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
 
 
-def write_by_batch(df: DataFrame, path: str) -> None:
-    """Write a table in one folder per batch, replacing the batches in ``df``.
+def _open(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A Parquet table, or None as long as nothing was written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, empty as long as nothing was written."""
+    table = _open(spark, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
+
+
+def write_by_batch(df: DataFrame, path: str, batches: DataFrame) -> None:
+    """Write a table in one folder per batch, replacing the given ``batches``.
 
     ``rebalance`` sizes the files at run time: small batches share a task and
-    a batch that holds a large part of the rows is split over many tasks.
+    a batch that holds a large part of the rows is split over many tasks. A batch
+    that has no rows any more is emptied.
     """
+    spark = df.sparkSession
+    shared_dir(spark)
+    # Only the names of the files of the batches that are replaced.
+    before = _files(spark, path, df.schema).join(batches, "batch_name", "left_semi").checkpoint()
     (
         df.hint("rebalance", "batch_name")
         .write.mode("overwrite")
@@ -72,3 +95,17 @@ def write_by_batch(df: DataFrame, path: str) -> None:
         .partitionBy("batch_name")
         .parquet(path)
     )
+    left_over = _files(spark, path, df.schema).join(before.select("file"), "file", "left_semi")
+    empty = df.drop("batch_name").limit(0)
+    for row in left_over.select("folder").distinct().toLocalIterator():
+        empty.write.mode("overwrite").parquet(row.folder)
+
+
+def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """batch_name, file, folder of a table written by batch."""
+    table = _open(spark, path, schema)
+    if table is None:
+        return spark.createDataFrame([], "batch_name string, file string, folder string")
+    file = F.col("_metadata.file_path")
+    folder = F.url_decode(F.replace(F.regexp_extract(file, "^(.*)/", 1), F.lit("+"), F.lit("%2B")))
+    return table.select("batch_name", file.alias("file"), folder.alias("folder")).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import tagloom as tl
 from tagloom.schemas import TWEETS
+from tagloom.sources.tables import fresh_dir, shared_dir
 
 
 def tag(*names):
@@ -146,6 +147,27 @@ def test_write_twice(spark, folder, rows, tmp_path_factory):
     assert ids.count() == 5
 
 
+def test_batch_without_rows_is_emptied(spark, tmp_path, rows):
+    out, batch = str(tmp_path / "out"), tmp_path / "in" / "svt 1+å%"
+    batch.mkdir(parents=True)
+    posts = [
+        {"id": "1", "author_id": "1", "entities": tag("sol")},
+        {"id": "2"},
+    ]
+    (batch / "a.json").write_text(json.dumps({"data": posts}))
+    (tmp_path / "in" / "other").mkdir()
+    (tmp_path / "in" / "other" / "b.json").write_text(
+        json.dumps({"data": [{"id": "9", "author_id": "1", "entities": tag("bad")}, {"id": "8"}]})
+    )
+    tl.write_ingest(tl.read_tweets(spark, str(tmp_path / "in")), out)
+    (batch / "a.json").write_text(json.dumps({"data": [{"id": "1", "author_id": "1"}]}))
+    tl.write_ingest(tl.read_tweets(spark, str(batch)), out)
+    found = rows(spark.read.parquet(f"{out}/tweets").select("tweet_id", "batch_name"))
+    assert found == [(1, "svt 1+å%"), (9, "other")]
+    assert rows(spark.read.parquet(f"{out}/hashtags").select("hashtag")) == [("bad",)]
+    assert rows(spark.read.parquet(f"{out}/rejected_tweets").select("raw_tweet_id")) == [("8",)]
+
+
 def test_duplicates_of_one_hot_id(spark, rows):
     df = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 1 ELSE id + 10 END AS tweet_id", "'f' AS file", "id AS pos"
@@ -155,6 +177,13 @@ def test_duplicates_of_one_hot_id(spark, rows):
     assert rows(kept.where("tweet_id = 1").select("pos")) == [(0,)]
 
 
+def test_shared_folder_comes_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured
+    assert fresh_dir(spark, "x").startswith(f"{configured}/x-")
+    assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
+
+
 def test_tables(spark, rows):
     spark.sql("CREATE DATABASE IF NOT EXISTS posts")
     tl.reset_tables(spark, "posts")
