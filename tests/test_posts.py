@@ -118,6 +118,21 @@ def test_stored_posts_reject_new_ones(spark, folder, rows):
     assert rows(tl.split_ingest(raw, stored, sized=True).tweets.select("tweet_id")) == [(2,), (3,)]
 
 
+def test_bad_row_does_not_take_the_id(spark, tmp_path, rows):
+    (tmp_path / "b").mkdir()
+    posts = [
+        {"id": "1", "entities": tag("lost")},
+        {"id": "1", "author_id": "2", "entities": tag("kept")},
+        {"id": "1", "author_id": "3", "entities": tag("late")},
+    ]
+    (tmp_path / "b" / "a.json").write_text(json.dumps({"data": posts}))
+    parts = tl.split_ingest(tl.read_tweets(spark, str(tmp_path)))
+    assert rows(parts.tweets.select("tweet_id", "author_id")) == [(1, 2)]
+    assert rows(parts.hashtags.select("hashtag")) == [("kept",)]
+    reasons = parts.rejected_tweets.orderBy("pos").select("reasons").collect()
+    assert [r[0] for r in reasons] == [["author_id missing"], ["tweet_id repeated"]]
+
+
 def test_write_twice(spark, folder, rows, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
     raw = tl.read_tweets(spark, str(folder))
