@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from workload.check import connect, difference
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     assert difference(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == ""
 
