@@ -55,4 +55,38 @@ SELECT doc_id, size, text_crc32, 'key' AS law, region, rack, shard,
 FROM c
 """
 
-ORACLE = {"op3_exact_dedup": _EXACT, "op6_hash_tree_shards": _SHARDS}
+_QUALITY = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS row_no, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT row_no, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d
+), windows AS (
+    SELECT row_no, i, array_to_string(words[i:i + 4], ' ') AS five
+    FROM (SELECT row_no, words, unnest(range(1, len(words) - 3)) AS i FROM w)
+), twice AS (
+    SELECT row_no, i FROM windows QUALIFY count(*) OVER (PARTITION BY row_no, five) > 1
+), repeated AS (
+    SELECT row_no, count(DISTINCT place) AS n_repeat_words
+    FROM (SELECT row_no, unnest(range(i, i + 5)) AS place FROM twice) GROUP BY row_no
+), lines AS (
+    SELECT row_no, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d
+), m AS (
+    SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           len(l) AS n_lines, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper,
+           length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS n_letters,
+           length(t) - length(regexp_replace(t, '[!-@\[-`{-~]', '', 'g')) AS n_marks
+    FROM d JOIN w USING (row_no) JOIN lines USING (row_no) LEFT JOIN repeated USING (row_no)
+), bits AS (
+    SELECT *, (n_words < 10)::BIGINT | (100 * n_repeat_words > 20 * n_words)::BIGINT * 2
+           + (100 * n_symbols > 25 * n_words)::BIGINT * 4 + (100 * n_dup_lines > 30 * n_lines)::BIGINT * 8
+           + (word_chars < 3 * n_words OR word_chars > 12 * n_words)::BIGINT * 16
+           + (n_letters >= 40 AND 2 * n_upper > n_letters)::BIGINT * 32
+           + (100 * n_marks > 40 * word_chars)::BIGINT * 64 AS fail_bits
+    FROM m
+)
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM bits
+"""
+
+ORACLE = {"op3_exact_dedup": _EXACT, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}

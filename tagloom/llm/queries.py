@@ -2,19 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.common import documents
 from tagloom.llm.exact_dedup import exact_dedup
+from tagloom.llm.packing import pack
+from tagloom.llm.quality import judged
 from tagloom.llm.sharding import shard_documents
+from tagloom.llm.token_counts import token_counts
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(documents(spark, sf_dir))
+
+
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_hash_tree_shards)}
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), VOCABULARY, window=1024, end_id=0)
+
+
+def op10_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), VOCABULARY, limit=1024)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_exact_dedup,
+        op5_rule_ledger,
+        op6_hash_tree_shards,
+        op7_sum_of_squares_packing,
+        op10_heap_token_counts,
+    )
+}
