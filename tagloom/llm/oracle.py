@@ -55,6 +55,47 @@ SELECT doc_id, size, text_crc32, 'key' AS law, region, rack, shard,
 FROM c
 """
 
+# Schedules by number, as (start, share met by then, density, slope); see mixing.SCHEDULES.
+_MIX = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS h
+    FROM documents
+), r AS (
+    SELECT *, [5, 2, 1][(rank % 3 + 1)::INTEGER] AS weight, 2 * source_size AS cap
+    FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+          FROM d GROUP BY source)
+), l AS (
+    SELECT *, (3 * sum(source_size) OVER ()
+               - 2 * coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+              / (2 * sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+    FROM r WINDOW o AS (ORDER BY cap::DOUBLE / weight, rank)
+), t AS (
+    SELECT source, rank, source_size, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM l
+), b AS (
+    SELECT d.doc_id, d.size, t.*, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), c AS (
+    SELECT *, CASE WHEN source_size > 0 AND 2 * target - 2 * before - size >= 0
+                   THEN least(floor((2 * target - 2 * before - size) / (2 * source_size)) + 1, 2) ELSE 0 END::BIGINT AS copies,
+           least((before + size / 2) / target, 1.0) AS share, rank % 3 AS schedule
+    FROM b
+), s AS (
+    SELECT *, CASE schedule WHEN 0 THEN [0.0, 0.0, 1.0, 0.0]
+                            WHEN 1 THEN CASE WHEN share >= {1} THEN [0.5, {1}, {2}, {3}] ELSE [0.0, 0.0, {2}, 0.0] END
+                            ELSE CASE WHEN share >= {4} THEN [0.5, {4}, {2}, 0.0] ELSE [0.0, 0.0, {5}, {6}] END
+              END::DOUBLE[] AS k
+    FROM c
+)
+SELECT doc_id, size, source_size, target, size * copies AS taken,
+       CASE WHEN copies > 0 THEN least(k[1] + 2.0::DOUBLE * (share - k[2])
+            / (k[3] + sqrt(k[3] * k[3] + 2.0::DOUBLE * k[4] * (share - k[2]))), 1.0) END AS first_position
+FROM s
+"""
+for _place, _value in {1: 0.5 / 1.5, 2: 1 / 1.5, 3: 2 / 1.5 / 0.5, 4: 1 / 1.5, 5: 3 / 1.5, 6: -2 / 1.5 / 0.5}.items():
+    _MIX = _MIX.replace(f"{{{_place}}}", f"{_value!r}::DOUBLE")
+
 _QUALITY = r"""
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS row_no, coalesce(text, '') AS t FROM documents
@@ -89,4 +130,4 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM bits
 """
 
-ORACLE = {"op3_exact_dedup": _EXACT, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}
+ORACLE = {"op3_exact_dedup": _EXACT, "op4_curriculum_mix": _MIX, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}

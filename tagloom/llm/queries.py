@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.llm.common import documents
 from tagloom.llm.exact_dedup import exact_dedup
+from tagloom.llm.id_files import id_files
+from tagloom.llm.languages import identify
+from tagloom.llm.mixing import plan_mix
 from tagloom.llm.packing import pack
 from tagloom.llm.quality import judged
 from tagloom.llm.sharding import shard_documents
@@ -15,10 +19,21 @@ from tagloom.llm.token_counts import token_counts
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_patched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files(documents(spark, sf_dir), VOCABULARY, end_id=2)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = plan_mix(documents(spark, sf_dir))
+    return plan.select(
+        "doc_id", "size", "source_size", "target", "taken", F.try_element_at("positions", F.lit(1)).alias("first_position")
+    )
+
+
 def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir))
 
@@ -31,6 +46,10 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), VOCABULARY, window=1024, end_id=0)
 
 
+def op9_subword_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op10_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), VOCABULARY, limit=1024)
 
@@ -38,10 +57,13 @@ def op10_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_patched_blocks,
         op3_exact_dedup,
+        op4_curriculum_mix,
         op5_rule_ledger,
         op6_hash_tree_shards,
         op7_sum_of_squares_packing,
+        op9_subword_languages,
         op10_heap_token_counts,
     )
 }
