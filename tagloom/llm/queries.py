@@ -11,6 +11,7 @@ from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.id_files import id_files
 from tagloom.llm.languages import identify
 from tagloom.llm.mixing import plan_mix
+from tagloom.llm.near_dedup import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.quality import judged
 from tagloom.llm.sharding import shard_documents
@@ -23,6 +24,11 @@ def op1_patched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files(documents(spark, sf_dir), VOCABULARY, end_id=2)
 
 
+def op2_fast_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -58,6 +64,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_patched_blocks,
+        op2_fast_sketch_near_dedup,
         op3_exact_dedup,
         op4_curriculum_mix,
         op5_rule_ledger,
