@@ -14,6 +14,7 @@ from tagloom.llm.mixing import plan_mix
 from tagloom.llm.near_dedup import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.quality import judged
+from tagloom.llm.repeats import remove_repeats
 from tagloom.llm.sharding import shard_documents
 from tagloom.llm.token_counts import token_counts
 
@@ -52,6 +53,11 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), VOCABULARY, window=1024, end_id=0)
 
 
+def op8_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(documents(spark, sf_dir), threshold=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_subword_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -70,6 +76,7 @@ QUERIES = {
         op5_rule_ledger,
         op6_hash_tree_shards,
         op7_sum_of_squares_packing,
+        op8_prefix_doubling,
         op9_subword_languages,
         op10_heap_token_counts,
     )
