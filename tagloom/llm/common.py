@@ -30,6 +30,11 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def with_key(docs: DataFrame, key: Column) -> DataFrame:
+    """_doc, _key, _all: the id, a key and the whole row, so that no column of ``docs`` can clash."""
+    return docs.select(F.col("doc_id").alias("_doc"), key.alias("_key"), F.struct("*").alias("_all"))
+
+
 def hash52(*parts: Column | str) -> Column:
     """52 bits of the MD5 of the parts' texts, joined by ``/``; other engines have it too."""
     joined = F.concat_ws("/", *(p if isinstance(p, Column) else F.lit(p) for p in parts))

@@ -151,7 +151,8 @@ class Segment:
         self.end = at + size + 1  # the line feed
 
     def read(self, start: int, count: int) -> np.ndarray:
-        """``count`` ids from the id ``start`` of the segment on."""
+        """``count`` ids from the id ``start`` of the segment on, fewer at its end."""
+        count = min(count, self.ids - start)
         first, last = start // BLOCK, -(-(start + count) // BLOCK)
         return unpack_blocks(self.index, self.body, first, last)[start - first * BLOCK :][:count]
 

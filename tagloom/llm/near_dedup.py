@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import staged
+from tagloom.llm.common import staged, with_key
 from tagloom.llm.components import components
 
 WORDS = 4
@@ -279,6 +279,6 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     one = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("content").alias("_content"))
     wordless = found.where("n_shingles = 0").select("component_id", F.col("content").alias("_content"))
     stay = one.unionByName(wordless).distinct().withColumnRenamed("component_id", "_id")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
+    keyed = with_key(docs, F.xxhash64("text"))
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["_doc", "_key"]).select("_all.*")

@@ -184,6 +184,6 @@ def judged(docs: DataFrame, policy: str = POLICY) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = POLICY) -> DataFrame:
     """The rows of ``docs`` that a policy keeps, columns as they were; nothing is shuffled."""
-    measured = docs.withColumn("_measures", measures(F.col("text")))
+    measured = docs.select(F.struct("*").alias("_all"), measures(F.col("text")).alias("_measures"))
     rules = (*BASE, *POLICIES[policy])
-    return measured.where(passes(fail_bits("_measures"), tuple(dict.fromkeys(rules)))).select(*docs.columns)
+    return measured.where(passes(fail_bits("_measures"), tuple(dict.fromkeys(rules)))).select("_all.*")
