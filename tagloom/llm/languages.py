@@ -131,7 +131,7 @@ def sample(docs: DataFrame, per_language: int, max_languages: int) -> DataFrame:
         labelled.groupBy(F.col("lang").alias("_lang")).count().orderBy(F.desc("count"), "_lang").limit(max_languages),
         "languages",
     )
-    small = F.col("chance") * F.col("count") < F.lit(float(2**52)) * per_language
+    small = F.col("chance").cast("double") * F.col("count") < F.lit(float(2**52)) * per_language
     chosen = labelled.join(F.broadcast(counts), F.col("lang") == F.col("_lang")).where(small)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
