@@ -9,12 +9,15 @@ the probability of their similarity, about as concentrated as with independent
 hashes, but most sets need a few rounds only.
 
 Documents with equal sets are one class, and only classes go on. Those that
-share a band meet in a bucket. No bucket emits all its pairs: first, everyone in
-it is compared with one pivot, and classes found similar become one component.
-What two components still have in common buckets is compared when that is little
-(``LEFT_OVER`` pairs per class), else with more pivots, twice as many each time,
-until no pair of different components that shares a bucket is left. Pairs within
-a component need no comparison. Every comparison is exact, on the full sets.
+share a band meet in a bucket. A shingle that no other class in any bucket has
+cannot be shared, which bounds the similarity of a pair from above (exactly);
+classes and pairs that cannot reach ``PERCENT`` go no further. No bucket emits all
+its pairs: first, everyone in it is compared with one pivot, and classes found
+similar become one component. What different components still have in common
+buckets is compared when that is little (``LEFT_OVER`` pairs per class), else with
+more pivots, ``FASTER`` times as many each time, until no pair of different
+components that shares a bucket is left. Pairs within a component need no
+comparison. Every comparison is exact, on the full sets.
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^40 < 2e-7.
 """
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import staged, with_key
@@ -35,7 +38,8 @@ WORDS = 4
 PERCENT = 80
 ROWS = 5
 BANDS = 40
-LEFT_OVER = 2
+LEFT_OVER = 8
+FASTER = 8
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -126,6 +130,12 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _possible(a: str, b: str) -> Column:
+    """Whether two classes may be similar enough: they share no shingle that is their own."""
+    shared = F.least(F.col(f"n_{a}") - F.col(f"own_{a}"), F.col(f"n_{b}") - F.col(f"own_{b}"))
+    return (100 + PERCENT) * shared >= PERCENT * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node and set of the rows whose text has the set that the node stands for."""
     import xxhash
@@ -136,8 +146,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = shingles(text.as_py()).tobytes()
             if xxhash.xxh3_128_digest(found) == digest.as_py():
                 nodes.append(node.as_py())
-                sets.append(found)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
+                sets.append(np.frombuffer(found, np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"]
+        )
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +157,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []
         for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            a, b = (s.values.to_numpy().view(np.uint64) for s in (x, y))
             if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
                 linked.append(False)
                 continue
@@ -170,25 +182,38 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _crossing(members: DataFrame) -> DataFrame:
     """Members of buckets that still hold several components, with that bucket's size."""
     per_root = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    columns = [c for c in members.columns if c != "key"]
     open_buckets = (
         per_root.groupBy("key")
         .agg(F.count(F.lit(1)).alias("roots"), F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"))
         .where("roots > 1")
         .select("key", "size", ((F.col("size") * F.col("size") - F.col("within")) / 2).alias("pairs"))
     )
-    return members.join(open_buckets, "key")
+    return members.join(open_buckets, "key").select("key", *columns, "size", "pairs")
 
 
-def _links(members: DataFrame, sets: DataFrame, classes: int) -> DataFrame:
+def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int) -> DataFrame:
     """a, b: enough similar pairs to connect all that share a bucket and are similar.
 
-    ``members`` has key and node of the buckets with two nodes or more.
+    ``members`` has key, node, n and own (sizes of its set and of the part that no
+    other class has) of the buckets with two nodes or more, ``keys`` has all bands
+    of each node.
     """
-    pivots = members.groupBy("key").agg(F.min("node").alias("a"))
-    pairs = members.join(pivots, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
-    links = staged(_verified(pairs, sets), "links")
-    tested = staged(pairs, "tested")
-    share = 0
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        columns = [F.col(c).alias(f"{c}_{name}") for c in ("node", "n", "own", "bands", "root") if c in rows.columns]
+        return rows.select("key", *columns)
+
+    # The most central class of a bucket is the one with the least of its own.
+    central = F.struct((F.col("own") / F.col("n")).alias("part"), "node", "n", "own")
+    pivots = members.groupBy("key").agg(F.min(central).alias("p")).select("key", "p.*")
+    pairs = side(pivots, "a").join(side(members, "b"), "key").where("node_a != node_b")
+    pairs = pairs.where(_possible("a", "b")).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+    )
+    tested = staged(pairs.distinct(), "tested")
+    links = staged(_verified(tested, sets), "links")
+    share = 1
     while True:
         roots = components(links)
         labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -198,16 +223,21 @@ def _links(members: DataFrame, sets: DataFrame, classes: int) -> DataFrame:
         if not count:
             return links
         last = count <= LEFT_OVER * classes
-        share = share * 2 or 2
+        share *= FASTER
         chance = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30)) / float(1 << 30)
         pivot = F.lit(True) if last else (chance < share / F.col("size"))
         whole = last or not left.where(F.col("size") > share).limit(1).count()
-        one = left.withColumn("pivot", pivot).where("pivot").select("key", F.col("node").alias("x"), F.col("root").alias("of_x"))
-        two = left.select("key", F.col("node").alias("y"), F.col("root").alias("of_y"))
+        if last:
+            left = left.join(keys, "node")
+        # Of the buckets that a pair shares, that of its first common band speaks for it.
+        earlier = [F.slice(f"bands_{s}", F.lit(1), F.array_position("bands_x", F.col("key")).cast("int") - 1) for s in "xy"]
+        once = ~F.arrays_overlap(*earlier) if last else F.lit(True)
         pairs = (
-            one.join(two, "key")
-            .where("of_x != of_y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            side(left.withColumn("pivot", pivot).where("pivot"), "x")
+            .join(side(left, "y"), "key")
+            .where((F.col("root_x") != F.col("root_y")) & _possible("x", "y"))
+            .where((F.col("node_x") < F.col("node_y")) & once if last else F.lit(True))
+            .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
             .distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
@@ -238,20 +268,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one_each = with_words.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
     keyed = one_each.select(F.explode("bands").alias("key"), F.col("row_id").alias("node"))
     shared = staged(keyed.groupBy("key").count().where("count > 1").select("key"), "buckets")
-    members = staged(keyed.join(shared, "key"), "members")
+    met = staged(keyed.join(shared, "key"), "met")
 
-    met = members.select("node").distinct()
-    wanted = with_words.join(met, F.col("row_id") == F.col("node"), "left_semi").select(
+    wanted = with_words.join(met.select("node").distinct(), F.col("row_id") == F.col("node"), "left_semi").select(
         F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("row_id").alias("node"), "digest"
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_key")).join(wanted, same)
-    sets = texts.select("node", "digest", "text").mapInArrow(_sets, "node long, set binary")
+    sets = texts.select("node", "digest", "text").mapInArrow(_sets, "node long, set array<long>")
     sets = staged(sets, "sets")
     if not sets.groupBy("node").count().where("count > 1").isEmpty():
         sets = staged(sets.dropDuplicates(["node"]), "sets")  # from repeated rows
 
-    roots = components(_links(members, sets, classes.count()))
+    # Shingles that one class alone has, and classes that have too many of them for any link.
+    own = sets.select("node", F.explode("set").alias("shingle")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("times"), F.min("node").alias("node")
+    )
+    own = own.where("times = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    known = with_words.select(F.col("row_id").alias("node"), F.col("n_shingles").alias("n"))
+    hopeful = (
+        sets.select("node")
+        .join(own, "node", "left")
+        .join(known, "node")
+        .select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+        .where(100 * F.col("own") <= (100 - PERCENT) * F.col("n"))
+    )
+    members = staged(met.join(hopeful, "node"), "members")
+    keys = one_each.select(F.col("row_id").alias("node"), "bands")
+    roots = components(_links(members, keys, sets, classes.count()))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_digest = rooted.join(smallest, "root").select("digest", "component_id", F.lit(True).alias("linked"))
