@@ -21,9 +21,9 @@ _MARKS = ".,;:!?|#$%&*)\n"
 _LETTERS = re.compile(rf"[^\W\d_]+(?=[{_MARKS}])")
 
 #: Distinct words that a worker process keeps before it lets go of those not met lately.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 #: Characters of text encoded together.
-_AT_ONCE = 12_000_000
+_AT_ONCE = 8_000_000
 
 
 class Kept:

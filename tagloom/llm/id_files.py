@@ -53,27 +53,27 @@ _BLOCK = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
 def _pack_words(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of 64 differences as rows of ``width`` words, the lowest bits of each."""
-    words = np.zeros((len(values), width), "<u8")
-    values = values & np.uint64((1 << width) - 1)
+    words = np.zeros((width, len(values)), "<u8")
+    values = np.ascontiguousarray(values.T) & np.uint64((1 << width) - 1)  # one place of all rows in a piece
     for i in range(64):
         word, shift = divmod(i * width, 64)
-        words[:, word] |= values[:, i] << np.uint64(shift)
+        words[word] |= values[i] << np.uint64(shift)
         if shift + width > 64:
-            words[:, word + 1] |= values[:, i] >> np.uint64(64 - shift)
-    return words
+            words[word + 1] |= values[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T)
 
 
 def _unpack_words(words: np.ndarray, width: int) -> np.ndarray:
-    values = np.zeros((len(words), 64), "<u8")
-    if not width:
-        return values
+    words = np.ascontiguousarray(words.T)
+    values = np.empty((64, words.shape[1]), "<u4")
+    cut = np.uint64((1 << width) - 1)
     for i in range(64):
         word, shift = divmod(i * width, 64)
-        values[:, i] = words[:, word] >> np.uint64(shift)
+        value = words[word] >> np.uint64(shift)
         if shift + width > 64:
-            values[:, i] |= words[:, word + 1] << np.uint64(64 - shift)
-    values &= np.uint64((1 << width) - 1)
-    return values
+            value |= words[word + 1] << np.uint64(64 - shift)
+        values[i] = value & cut
+    return values.T
 
 
 def _bit_length(values: np.ndarray) -> np.ndarray:
@@ -240,12 +240,19 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before += s.ids
 
 
+def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [(s.shard, s.ids) for content in batch.column(0) for s in segments(content.as_py())]
+        columns = list(zip(*found, strict=True)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["shard", "ids"])
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32: what the files below ``path`` hold, a row per document."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content")
     docs = files.mapInArrow(_read, "doc_id long, shard long, start long, n_tokens long, ids_crc32 long")
-    # A row per file, not per document.
-    shards = docs.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
+    # A row per file, not per document, from the headers.
+    shards = files.mapInArrow(_totals, "shard long, ids long").groupBy("shard").agg(F.sum("ids").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = shards.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
     return docs.join(bases, "shard").select(
