@@ -20,7 +20,12 @@ from tagloom.operators.hashtags import (
 )
 from tagloom.operators.merge import merge_add, total
 from tagloom.operators.network import network_edges, network_vertices
-from tagloom.operators.pairs import count_pairs, endpoint_pairs, literal_overflow
+from tagloom.operators.pairs import (
+    count_pairs,
+    endpoint_pairs,
+    literal_overflow,
+    plain_counts,
+)
 from tagloom.operators.status import release_batch, set_status, upsert_batches
 from tagloom.operators.units import distinct_units, keyed_units, lemmatise, units, with_words
 from tagloom.operators.unpack import unpack_hashtags, unpack_tweets

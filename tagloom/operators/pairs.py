@@ -10,20 +10,21 @@ words between are not paired. Two ways of counting:
     Per unit, in order of position: of an unordered pair of different words that
     occurs n times, with f neighbouring occurrences in opposite orientation,
     n - f are counted, under the orientation of the last one. A pair of equal
-    words counts 2^(n-1). Sums over units keep orientations apart. The table
-    stores 32-bit counts per unit, so equal words with n > 31 are kept out and
-    reported by :func:`literal_overflow`.
+    words counts 2^(n-1). Sums over units keep orientations apart. Powers of two
+    are not multiplied out: a row has a count and a number of ``doublings`` (0 for
+    different words), and stands for count * 2^doublings, so no n is too large.
+    :func:`plain_counts` makes one number per pair of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.operators.units import UNIT_KEYS
 from tagloom.schemas import MAX_WINDOW, MIN_WINDOW
 
-MAX_DOUBLINGS = 31  # fixed value: the largest n for which 2^(n-1) fits 32 bits
+FITS_32_BITS = 30  # fixed value: doublings of 1 that a signed 32-bit count can hold
 MAX_SUMS = 32  # window sizes whose sums share a row
 
 
@@ -65,9 +66,10 @@ def count_pairs(
 ) -> DataFrame:
     """window_size, word1, word2, word_count from the rows of ``endpoint_pairs``.
 
-    ``copies`` names the column with the number of copies of a unit (None: each
-    counts once); ``keys``, needed for literal mode, identify a unit. ``windows``,
-    if given, are the window sizes that occur.
+    Literal mode has a column ``doublings`` before word_count. ``copies`` names the
+    column with the number of copies of a unit (None: each counts once); ``keys``,
+    needed for literal mode, identify a unit. ``windows``, if given, are the window
+    sizes that occur; a row of any other size is an error.
     """
     if mode == "canonical":
         weight = F.lit(1) if copies is None else F.col(copies)
@@ -77,31 +79,50 @@ def count_pairs(
             F.greatest("a", "b").alias("word2"),
             weight.cast("long").alias("counted"),
         )
-        return _sum_up(found, windows)
+        return _sum_up(found, windows, ("word1", "word2"))
     if mode != "literal":
         raise ValueError(f"mode must be 'canonical' or 'literal', not {mode!r}")
     same = F.col("word1") == F.col("word2")
-    doubled = F.expr("shiftleft(1L, cast(n - 1 AS int))")
-    counted = F.when(same, doubled).otherwise(F.col("n") - F.col("turns")) * F.col("copies")
-    fits = ~same | (F.col("n") <= MAX_DOUBLINGS)
-    found = _literal_per_unit(pairs, keys, copies).where(fits)
-    return _sum_up(found.select("window_size", "word1", "word2", counted.alias("counted")), windows)
+    counted = F.when(same, F.lit(1)).otherwise(F.col("n") - F.col("turns")) * F.col("copies")
+    found = _literal_per_unit(pairs, keys, copies).select(
+        "window_size",
+        "word1",
+        "word2",
+        F.when(same, F.col("n") - 1).otherwise(0).cast("int").alias("doublings"),
+        counted.alias("counted"),
+    )
+    return _sum_up(found, windows, ("word1", "word2", "doublings"))
+
+
+def plain_counts(literal: DataFrame) -> DataFrame:
+    """window_size, word1, word2, word_count of the rows of literal mode, multiplied out.
+
+    Raises an error when run if a count does not fit 64 bits.
+    """
+    keys = ("window_size", "word1", "word2")
+    too_large = F.raise_error("a literal count does not fit 64 bits").cast("decimal(38,0)")
+    one = F.col("word_count").cast("decimal(19,0)") * F.expr("shiftleft(1L, doublings)").cast("decimal(19,0)")
+    rows = literal.select(*keys, F.when(F.col("doublings") < 63, one).otherwise(too_large).alias("value"))
+    value = F.sum("value")
+    fits = F.when(value <= F.lit(2**63 - 1), value).otherwise(too_large)
+    return rows.groupBy(*keys).agg(fits.cast("long").alias("word_count"))
 
 
-def _sum_up(found: DataFrame, windows: range | None) -> DataFrame:
-    """Sum of ``counted`` per (window_size, word1, word2).
+def _sum_up(found: DataFrame, windows: range | None, keys: tuple[str, ...]) -> DataFrame:
+    """Sum of ``counted`` per window_size and ``keys``.
 
     Words that stand together do so at several distances, the more often the
     more text there is. So with known ``windows`` the sums for all window sizes
     are kept in one row per pair of words, and only such rows are shuffled.
     """
     if windows is None or len(windows) > MAX_SUMS:
-        return found.groupBy("window_size", "word1", "word2").agg(
-            F.sum("counted").alias("word_count")
-        )
+        size = F.col("window_size")
+        if windows is not None:
+            size = _within(windows).alias("window_size")
+        return found.groupBy(size, *keys).agg(F.sum("counted").alias("word_count"))
+    size = _within(windows)
     sums = [
-        F.sum(F.when(F.col("window_size") == k, F.col("counted")).otherwise(0)).alias(f"sum_{k}")
-        for k in windows
+        F.sum(F.when(size == k, F.col("counted")).otherwise(0)).alias(f"sum_{k}") for k in windows
     ]
     by_window = F.array(
         *(
@@ -109,28 +130,30 @@ def _sum_up(found: DataFrame, windows: range | None) -> DataFrame:
             for k in windows
         )
     )
-    rows = found.groupBy("word1", "word2").agg(*sums).select("word1", "word2", F.inline(by_window))
-    return rows.where(F.col("word_count") > 0).select(
-        "window_size", "word1", "word2", "word_count"
-    )
+    rows = found.groupBy(*keys).agg(*sums).select(*keys, F.inline(by_window))
+    return rows.where(F.col("word_count") > 0).select("window_size", *keys, "word_count")
 
 
-def literal_overflow(
-    pairs: DataFrame, keys: tuple[str, ...] = UNIT_KEYS, copies: str | None = "copies"
-) -> DataFrame:
-    """Equal-word pairs that literal mode keeps out: window_size, word, n, units.
+def _within(windows: range) -> Column:
+    """The window size, or an error if it is not one of those that were announced."""
+    size = F.col("window_size")
+    wrong = F.concat(F.lit("unexpected window size "), size.cast("string"))
+    inside = size.between(windows[0], windows[-1]) & ((size - windows[0]) % windows.step == 0)
+    return F.when(inside, size).otherwise(F.raise_error(wrong).cast("int"))
+
+
+def literal_overflow(literal: DataFrame) -> DataFrame:
+    """Counts of literal mode beyond 32 bits: window_size, word, n, units.
 
     ``n`` is the number of occurrences in a unit, ``units`` the number of units
-    that have so many.
+    that have so many. ``literal`` are the rows of literal mode, which hold these
+    counts like any other.
     """
-    same = pairs.where(F.col("a") == F.col("b"))
-    weight = F.lit(1) if copies is None else F.first(copies)
-    return (
-        same.groupBy(*keys, "window_size", F.col("a").alias("word"))
-        .agg(F.count(F.lit(1)).alias("n"), weight.cast("long").alias("copies"))
-        .where(F.col("n") > MAX_DOUBLINGS)
-        .groupBy("window_size", "word", "n")
-        .agg(F.sum("copies").alias("units"))
+    return literal.where(F.col("doublings") > FITS_32_BITS).select(
+        "window_size",
+        F.col("word1").alias("word"),
+        (F.col("doublings") + 1).cast("long").alias("n"),
+        F.col("word_count").alias("units"),
     )
 
 

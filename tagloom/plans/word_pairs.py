@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tagloom.operators.pairs import count_pairs, endpoint_pairs
 from tagloom.operators.units import (
@@ -18,10 +19,22 @@ from tagloom.sources.tables import batch_text
 
 
 def unit_words(
-    texts: DataFrame, lexicon: DataFrame | None = None, unit: str = "record", keyed: bool = False
+    texts: DataFrame,
+    lexicon: DataFrame | None = None,
+    unit: str = "record",
+    keyed: bool = False,
+    combine: bool = False,
 ) -> DataFrame:
-    """Distinct units of ``text`` as words: [unit_hash, unit_no,] copies, words."""
-    distinct = distinct_units(units(texts, unit=unit))
+    """Units of ``text`` as words: [unit_hash, unit_no,] copies, words.
+
+    Units that need no key are taken row by row, without a shuffle. ``combine``
+    counts equal ones once instead, for a shuffle of all texts: worth it if most
+    are copies. With a key or a lexicon equal units are always combined.
+    """
+    cut = units(texts, unit=unit)
+    if not keyed and lexicon is None and not combine:
+        return with_words(cut.select(F.lit(1).cast("long").alias("copies"), "text"))
+    distinct = distinct_units(cut)
     if not keyed and lexicon is None:
         return with_words(distinct)
     spoken = with_words(keyed_units(distinct))
@@ -37,10 +50,11 @@ def unit_pairs(
     kmin: int = MIN_WINDOW,
     kmax: int = MAX_WINDOW,
     keyed: bool = False,
+    combine: bool = False,
 ) -> DataFrame:
-    """Window pairs of the distinct units of ``texts``, with their copies."""
+    """Window pairs of the units of ``texts``, with their copies (see :func:`unit_words`)."""
     keys = (*UNIT_KEYS, "copies") if keyed else ("copies",)
-    return endpoint_pairs(unit_words(texts, lexicon, unit, keyed), keys, kmin, kmax)
+    return endpoint_pairs(unit_words(texts, lexicon, unit, keyed, combine), keys, kmin, kmax)
 
 
 def word_pairs(
@@ -51,11 +65,12 @@ def word_pairs(
     kmin: int = MIN_WINDOW,
     kmax: int = MAX_WINDOW,
     mode: str = "canonical",
+    combine: bool = False,
 ) -> DataFrame:
     """Word pair counts of one batch of posts (or of all): rows of ``wordpairs``.
 
-    Pairs never cross posts.
+    Pairs never cross posts. Literal mode has one more column, ``doublings``.
     """
     texts = batch_text(tweets, batch)
-    pairs = unit_pairs(texts, lexicon, unit, kmin, kmax, keyed=mode == "literal")
+    pairs = unit_pairs(texts, lexicon, unit, kmin, kmax, mode == "literal", combine)
     return count_pairs(pairs, mode, windows=range(kmin, kmax + 1))

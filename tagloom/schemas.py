@@ -71,6 +71,17 @@ WORD_PAIRS = T.StructType(
     ]
 )
 
+# Counted literally: word_count * 2^doublings.
+LITERAL_PAIRS = T.StructType(
+    [
+        T.StructField("window_size", T.IntegerType()),
+        T.StructField("word1", T.StringType()),
+        T.StructField("word2", T.StringType()),
+        T.StructField("doublings", T.IntegerType()),
+        T.StructField("word_count", T.LongType()),
+    ]
+)
+
 BATCHES = T.StructType(
     [
         T.StructField("batch_name", T.StringType()),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,12 +17,15 @@ from tagloom.schemas import ALL_BATCHES, COOCCURRENCE, TABLES
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors reach, for checkpoints and written tables.
 
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset (a
-    local session, as in tests) a temporary folder is used and registered.
+    It is the session's ``spark.checkpoint.dir``. Where that is unset, a session
+    whose executors are threads of the driver gets a temporary folder; on a
+    cluster, where executors would write to their own disks, it is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         configured = tempfile.mkdtemp(prefix="tagloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 
 import tagloom as tl
+from tagloom.operators.merge import LITERAL_KEYS
 
 
 def texts(spark, *lines):
@@ -16,6 +17,10 @@ def counts(df):
     return {(r.window_size, r.word1, r.word2): r.word_count for r in df.collect()}
 
 
+def literal_counts(df):
+    return counts(tl.plain_counts(df))
+
+
 CANONICAL = [
     ("a b a b", {(2, "a", "b"): 3, (3, "a", "a"): 1, (3, "b", "b"): 1, (4, "a", "b"): 1}),
     ("a a a a", {(2, "a", "a"): 3, (3, "a", "a"): 2, (4, "a", "a"): 1}),
@@ -39,13 +44,13 @@ def test_canonical(spark, text, expected):
 
 @pytest.mark.parametrize("text,expected", LITERAL)
 def test_literal(spark, text, expected):
-    assert counts(tl.word_pairs(texts(spark, text), mode="literal")) == expected
+    assert literal_counts(tl.word_pairs(texts(spark, text), mode="literal")) == expected
 
 
 def test_units_are_not_merged(spark):
     two = texts(spark, "a b", "b a")
     assert counts(tl.word_pairs(two)) == {(2, "a", "b"): 2}
-    assert counts(tl.word_pairs(two, mode="literal")) == {(2, "a", "b"): 1, (2, "b", "a"): 1}
+    assert literal_counts(tl.word_pairs(two, mode="literal")) == {(2, "a", "b"): 1, (2, "b", "a"): 1}
 
 
 def test_lines(spark):
@@ -91,7 +96,7 @@ def test_literal_equals_fold(spark, seed):
         for k in range(2, 11):
             for (a, b), count in fold(line.split(), k):
                 expected[k, a, b] += count
-    assert counts(tl.word_pairs(texts(spark, *lines), mode="literal")) == expected
+    assert literal_counts(tl.word_pairs(texts(spark, *lines), mode="literal")) == expected
 
 
 @pytest.mark.parametrize("kmin,kmax", [(2, 10), (2, 40)])
@@ -106,18 +111,41 @@ def test_canonical_equals_loop(spark, kmin, kmax):
     assert counts(tl.word_pairs(texts(spark, *lines), kmin=kmin, kmax=kmax)) == expected
 
 
-def test_overflow_is_kept_apart(spark, rows):
+def test_large_literal_counts(spark, rows):
     df = texts(spark, "x " * 40, "x " * 40, "x " * 32)
-    literal = counts(tl.word_pairs(df, mode="literal"))
+    literal = tl.word_pairs(df, mode="literal")
     # Windows of k over n words give n - k + 1 pairs.
-    assert literal[10, "x", "x"] == 2 * 2**30 + 2**22
-    assert literal[2, "x", "x"] == 2**30
-    over = tl.literal_overflow(tl.unit_pairs(df, keyed=True))
+    folded = literal_counts(literal)
+    assert all(folded[k, "x", "x"] == 2 * 2 ** (40 - k) + 2 ** (32 - k) for k in range(2, 11))
+    over = tl.literal_overflow(literal)
     assert (2, "x", 39, 2) in rows(over) and (9, "x", 32, 2) in rows(over)
     assert len(rows(over)) == 8
     assert counts(tl.word_pairs(df))[2, "x", "x"] == 39 + 39 + 31
 
 
+def test_no_literal_count_is_too_large(spark, rows):
+    df = texts(spark, "x " * 500, "x " * 500, "x y")
+    literal = tl.word_pairs(df, mode="literal", kmax=2)
+    assert rows(literal) == [(2, "x", "x", 498, 2), (2, "x", "y", 0, 1)]
+    assert rows(tl.merge_add(literal, literal, LITERAL_KEYS, "word_count"))[0][-1] == 4
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        tl.plain_counts(literal).collect()
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        tl.plain_counts(tl.word_pairs(texts(spark, *["x " * 64] * 2), mode="literal", kmax=2)).collect()
+
+
+def test_other_window_sizes_are_an_error(spark):
+    pairs = tl.unit_pairs(texts(spark, "a b c d"), kmax=4)
+    for windows in (range(2, 4), range(2, 100, 2)):
+        with pytest.raises(Exception, match="unexpected window size"):
+            tl.count_pairs(pairs, windows=windows).collect()
+
+
+def test_combining_changes_nothing(spark, rows):
+    df = texts(spark, "a b a", "a b a", None, "b c")
+    assert rows(tl.word_pairs(df, combine=True)) == rows(tl.word_pairs(df))
+
+
 def test_batch_filter(spark):
     df = spark.createDataFrame(
         [(1, "a b", "x"), (2, "c d", "y")], "tweet_id long, text string, batch_name string"
@@ -142,7 +170,7 @@ def test_same_hash_units_stay_apart(spark, monkeypatch):
 
     monkeypatch.setattr(module, "F", Colliding())
     two = texts(spark, "a b", "b a", "a b")
-    assert counts(tl.word_pairs(two, mode="literal")) == {(2, "a", "b"): 2, (2, "b", "a"): 1}
+    assert literal_counts(tl.word_pairs(two, mode="literal")) == {(2, "a", "b"): 2, (2, "b", "a"): 1}
 
 
 def test_lemmas(spark, rows):

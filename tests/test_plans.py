@@ -38,7 +38,7 @@ def test_scan_reads_needed_columns_and_filters(spark, sf):
 
 def test_canonical_stays_in_generated_code(spark, sf):
     text = plan(tl.word_pairs(inputs.documents(spark, sf), unit="line"))
-    assert exchanges(text) == 2
+    assert exchanges(text) == 1
     generates = [line for line in text.splitlines() if "Generate" in line]
     assert generates and all("*(" in line for line in generates)
     assert "Python" not in text and "InArrow" not in text

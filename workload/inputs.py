@@ -38,6 +38,11 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT form, lemma FROM VALUES {rows} AS lexicon(form, lemma)")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table that is one small file, dealt out to all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("tweet_id"), "text", F.col("source").alias("batch_name")
@@ -124,6 +129,12 @@ def conversation_posts(spark: SparkSession, sf_dir: str, repeats: bool) -> DataF
     return posts.select("tweet_id", "batch_name", F.to_json(post).alias("json"))
 
 
+def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as nested posts: long texts, with words that come very often."""
+    post = F.struct(F.col("tweet_id").alias("id"), F.lit(1).alias("author_id"), "text")
+    return documents(spark, sf_dir).select("tweet_id", "batch_name", F.to_json(post).alias("json"))
+
+
 def raw_posts(posts: DataFrame) -> DataFrame:
     """What ``read_tweets`` would give for these posts."""
     return posts.select(

@@ -67,7 +67,11 @@ WITH {LINES},
 spoken AS (SELECT doc_id, unit_no, {_words('text')} AS ws FROM lines),
 {_pairs('spoken', 'doc_id, unit_no')}"""
 
-LITERAL = f"""{LINE_PAIRS},
+RECORD_PAIRS = f"""
+WITH spoken AS (SELECT doc_id, 0 AS unit_no, {_words('text')} AS ws FROM documents),
+{_pairs('spoken', 'doc_id, unit_no')}"""
+
+_LITERAL_UNITS = """,
 placed AS (
   SELECT *, least(a, b) AS lo, greatest(a, b) AS hi FROM pairs),
 turned AS (
@@ -80,6 +84,13 @@ per_unit AS (
          arg_max(a, pos) AS word1, arg_max(b, pos) AS word2
   FROM turned GROUP BY doc_id, unit_no, window_size, lo, hi)"""
 
+LITERAL = LINE_PAIRS + _LITERAL_UNITS
+
+LITERAL_COUNT = """
+SELECT window_size, word1, word2, CAST(CASE WHEN lo = hi THEN n - 1 ELSE 0 END AS INTEGER) AS doublings,
+       CAST(sum(CASE WHEN lo = hi THEN 1 ELSE n - turns END) AS BIGINT) AS word_count
+FROM per_unit GROUP BY ALL"""
+
 _LEXICON = ", ".join(
     f"('{form}', {'NULL' if lemma is None else repr(lemma)})" for form, lemma in LEXICON
 )
@@ -198,11 +209,7 @@ spoken AS (SELECT tweet_id, {_words('text')} AS ws FROM turns),
 SELECT tweet_id, window_size, pos, a, b FROM pairs""",
     "pairs_by_line": LINE_PAIRS + COUNT,
     "pairs_by_record": _turn_pairs(kmin=3, kmax=4),
-    "pairs_literal": f"""{LITERAL}
-SELECT window_size, word1, word2,
-       CAST(sum(CASE WHEN lo = hi THEN CAST(power(2, n - 1) AS BIGINT) ELSE n - turns END)
-            AS BIGINT) AS word_count
-FROM per_unit WHERE lo <> hi OR n <= 31 GROUP BY window_size, word1, word2""",
+    "pairs_literal": LITERAL + LITERAL_COUNT,
     "pairs_literal_overflow": f"""{LITERAL}
 SELECT window_size, lo AS word, n, count(*) AS units
 FROM per_unit WHERE lo = hi AND n > 31 GROUP BY ALL""",
@@ -292,6 +299,7 @@ WITH {EDGES}
 SELECT hashtag1, hashtag2, CAST(sum(weight) AS BIGINT) AS weight
 FROM (SELECT * FROM edges UNION ALL SELECT 'brand#1', 'brand#2', 5) GROUP BY ALL""",
     "stream_pairs": _turn_pairs(),
+    "stream_pairs_literal": RECORD_PAIRS + _LITERAL_UNITS + LITERAL_COUNT,
     "stream_batch_status": """
 SELECT DISTINCT 'batch_name=' || role AS batch_name, 'SUCCESS' AS batch_status
 FROM conversations""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,12 +74,12 @@ def endpoint_pairs(spark, sf):
 
 @query
 def pairs_by_line(spark, sf):
-    return tl.word_pairs(i.documents(spark, sf), unit="line")
+    return tl.word_pairs(i.spread(i.documents(spark, sf)), unit="line")
 
 
 @query
 def pairs_by_record(spark, sf):
-    return tl.word_pairs(i.conversations(spark, sf), batch="None", kmin=3, kmax=4)
+    return tl.word_pairs(i.spread(i.conversations(spark, sf)), batch="None", kmin=3, kmax=4)
 
 
 @query
@@ -88,7 +89,7 @@ def pairs_literal(spark, sf):
 
 @query
 def pairs_literal_overflow(spark, sf):
-    return tl.literal_overflow(tl.unit_pairs(i.documents(spark, sf), unit="line", keyed=True))
+    return tl.literal_overflow(tl.word_pairs(i.documents(spark, sf), unit="line", mode="literal"))
 
 
 @query
@@ -348,6 +349,12 @@ def stream_pairs(spark, sf):
     return tl.pair_totals(spark, out)
 
 
+@query
+def stream_pairs_literal(spark, sf):
+    out = _job(spark, i.document_posts(spark, sf), 200, 50, partial(tl.run_word_pairs, mode="literal"))
+    return tl.pair_totals(spark, out, "literal")
+
+
 @query
 def stream_batch_status(spark, sf):
     posts = i.conversation_posts(spark, sf, repeats=False)
