@@ -77,42 +77,29 @@ def mark_duplicates(
     """Adds ``is_duplicate``: the id came earlier in ``new`` or is in ``stored``.
 
     ``order`` must be unique within an id; the row that comes first stays. Rows
-    with a null id are never duplicates. The first position per id is an
-    aggregate (combined before the shuffle) of which only repeated ids are
-    joined back, so one id on a large part of the rows stays harmless: the
-    join's small side has one row per id and the other side may be split.
+    with a null id are never duplicates. Ids alone are counted (combined before
+    the shuffle); only rows whose id came more than once are looked at closer, and
+    the first place per id is an aggregate over those. One id on a large part of
+    the rows stays harmless: the joins' small sides have one row per id and the
+    other sides may be split.
 
     With ``sized`` the (usually few) repeated ids are found by a job of their own,
     so that wide rows need no shuffle if they prove small enough to broadcast.
     """
-    place = F.struct(*order)
-    known = new.where(F.col(key).isNotNull())
-    places = known.select(key, place.alias("_place"), F.lit(False).alias("_stored"))
+    ids = new.where(F.col(key).isNotNull()).select(key, F.lit(1).alias("_new"), F.lit(0).alias("_old"))
     if stored is not None:
-        # Of the stored ids only those matter that come again.
-        again = stored.select(key).join(known.select(key).distinct(), key, "left_semi")
-        stored_places = again.select(
-            key,
-            F.lit(None).cast(places.schema["_place"].dataType).alias("_place"),
-            F.lit(True).alias("_stored"),
-        )
-        places = places.unionByName(stored_places)
-    marks = one_per_key(
-        places,
-        key,
-        F.min("_place").alias("_first"),
-        F.count("_place").alias("_rows"),
-        F.bool_or("_stored").alias("_stored"),
-    )
-    marks = marks.where((F.col("_rows") > 1) | F.col("_stored")).drop("_rows")
+        ids = ids.unionByName(stored.select(key, F.lit(0).alias("_new"), F.lit(1).alias("_old")))
+    met = one_per_key(ids, key, F.sum("_new").alias("_rows"), F.max("_old").alias("_old"))
+    met = met.where("_rows > 1 OR _rows = 1 AND _old = 1").select(key, (F.col("_old") == 1).alias("_stored"))
     if sized:
-        marks = broadcast_if_small(marks)
-    is_duplicate = F.coalesce(F.col("_stored") | (place > F.col("_first")), F.lit(False))
-    return (
-        new.join(marks, key, "left")
-        .withColumn("is_duplicate", is_duplicate)
-        .select(*new.columns, "is_duplicate")
-    )
+        met = broadcast_if_small(met)
+    place = F.struct(*order)
+    again = new.join(met, key)
+    first = one_per_key(again.select(key, place.alias("_place")), key, F.min("_place").alias("_first"))
+    marked = again.join(first, key).withColumn("is_duplicate", F.col("_stored") | (place > F.col("_first")))
+    once = new.join(met, key, "left_anti").withColumn("is_duplicate", F.lit(False))
+    columns = (*new.columns, "is_duplicate")
+    return once.select(*columns).unionByName(marked.select(*columns))
 
 
 def split_duplicates(
