@@ -9,6 +9,7 @@ from tagloom.sources.tables import fresh_dir
 
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python in batches of ``BATCH_BYTES`` at most.
+
+    Texts may be of any length, so a number of rows bounds nothing. A smaller
+    setting of the session stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    if now.rstrip("b") in ("-1", "67108864"):  # no bound, or Spark's own
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

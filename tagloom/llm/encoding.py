@@ -21,9 +21,9 @@ _MARKS = ".,;:!?|#$%&*)\n"
 _LETTERS = re.compile(rf"[^\W\d_]+(?=[{_MARKS}])")
 
 #: Distinct words that a worker process keeps before it lets go of those not met lately.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 #: Characters of text encoded together.
-_AT_ONCE = 8_000_000
+_AT_ONCE = 6_000_000
 
 
 class Kept:
@@ -147,8 +147,10 @@ class Encoder:
         begin = np.cumsum(length) - length
         tokens = length[which]
         end = np.cumsum(tokens)
-        place = np.repeat(begin[which] - (end - tokens), tokens)
-        place += np.arange(len(place))
+        # Batches are bounded, so places fit 32 bits unless one text is huge.
+        small = np.int32 if max(len(every), int(end[-1])) < 2**31 else np.int64
+        place = np.repeat((begin[which] - (end - tokens)).astype(small), tokens)
+        place += np.arange(len(place), dtype=small)
         out = every[place]
         cuts = np.concatenate(([0], end))[offsets].tolist()
         return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import lean_batches
 from tagloom.llm.encoding import Encoder
 from tagloom.sources.tables import fresh_dir
 
@@ -191,7 +192,7 @@ def _write(batches: Iterable[pa.RecordBatch], tokenizer: str, end_id: int) -> It
         return pa.RecordBatch.from_arrays([pa.array([write_segment(shard, number, docs)], pa.binary())], ["segment"])
 
     for batch in batches:
-        for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(t.as_py() for t in batch.column(1)), strict=True):
             docs.append((doc, np.concatenate((ids, end))))
             size += len(ids) + 1
             if size >= SEGMENT:
@@ -208,6 +209,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID)
     follow each other in any order. Null and empty texts give ``end_id`` alone. An
     empty table gives files without segments.
     """
+    lean_batches(docs.sparkSession)
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id")

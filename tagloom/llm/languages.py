@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import hash52, staged
+from tagloom.llm.common import hash52, lean_batches, staged
 
 BUCKETS_LOG2 = 15
 BUCKETS = 1 << BUCKETS_LOG2
@@ -237,4 +237,5 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def identify(docs: DataFrame, **bounds: int) -> DataFrame:
     """Fit on the labelled rows outside the held-out fold, predict all."""
+    lean_batches(docs.sparkSession)
     return predict(docs, fit(docs, **bounds))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import staged, with_key
+from tagloom.llm.common import lean_batches, staged, with_key
 from tagloom.llm.components import components
 
 WORDS = 4
@@ -256,6 +256,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     without words (or null) have no shingles and no links: each is its own
     component. Repeated rows have equal results. An empty table gives an empty one.
     """
+    lean_batches(docs.sparkSession)
     schema = "doc_id {}, content long, n_shingles long, digest binary, bands array<long>"
     rows = docs.select("doc_id", F.xxhash64("text").alias("content"), "text").mapInArrow(
         _sketched, schema.format(docs.schema["doc_id"].dataType.simpleString())

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import staged
+from tagloom.llm.common import lean_batches, staged
 from tagloom.llm.encoding import Encoder
 
 WINDOW = 1024
@@ -121,7 +121,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int)
 
     for batch in batches:
         docs = batch.column(0).to_pylist()
-        for doc, ids in zip(docs, encoder.encode(batch.column(1).to_pylist()), strict=True):
+        for doc, ids in zip(docs, encoder.encode(t.as_py() for t in batch.column(1)), strict=True):
             ids = np.concatenate((ids, end))
             whole = len(ids) - len(ids) % size
             for start in range(0, whole, size):
@@ -148,6 +148,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     ``docs`` is packed, repeated rows each for itself. ``sequence_id`` counts the
     windows without gaps. An empty table gives an empty one.
     """
+    lean_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = ", ".join(f"{f.name} long" for f in PIECES)
     pieces = rows.mapInArrow(lambda batches: _pack(batches, tokenizer, window, end_id), schema)

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import lean_batches
+
 SPACES = " \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(0x41, 0x5B))
@@ -137,6 +139,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     other, so repeated rows and ids give repeated rows, and an empty table an
     empty one.
     """
+    lean_batches(docs.sparkSession)
     measured = docs.select("doc_id", measures(F.col("text")).alias("m"))
     return measured.select("doc_id", "m.*", fail_bits("m").alias("fail_bits"))
 
@@ -184,6 +187,7 @@ def judged(docs: DataFrame, policy: str = POLICY) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = POLICY) -> DataFrame:
     """The rows of ``docs`` that a policy keeps, columns as they were; nothing is shuffled."""
+    lean_batches(docs.sparkSession)
     measured = docs.select(F.struct("*").alias("_all"), measures(F.col("text")).alias("_measures"))
     rules = (*BASE, *POLICIES[policy])
     return measured.where(passes(fail_bits("_measures"), tuple(dict.fromkeys(rules)))).select("_all.*")

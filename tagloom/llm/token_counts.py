@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import text_or_empty
+from tagloom.llm.common import lean_batches, text_or_empty
 from tagloom.llm.encoding import _CUT, _UNCUT, Kept
 
 LIMIT = 1024
@@ -187,6 +187,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
     Null and empty texts have no bytes and no tokens. Rows are independent of
     each other, so repeated rows and ids give repeated rows.
     """
+    lean_batches(docs.sparkSession)
     return docs.select(
         "doc_id",
         F.octet_length(text_or_empty()).cast("long").alias("n_bytes"),
