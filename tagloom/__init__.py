@@ -36,6 +36,7 @@ from tagloom.sources.tables import (
     batch_text,
     new_batches,
     read_cooccurrence,
+    read_ingested,
     reset_tables,
     table_exists,
 )

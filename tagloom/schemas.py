@@ -89,6 +89,9 @@ BATCHES = T.StructType(
     ]
 )
 
+# Batches as ingest writes them; a batch's rows are those of its last load.
+LOADED = T.StructType([*BATCHES.fields, T.StructField("load", T.LongType())])
+
 COOCCURRENCE = T.StructType(
     [
         T.StructField("hashtag1", T.StringType()),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.schemas import ALL_BATCHES, COOCCURRENCE, TABLES
+from tagloom.schemas import ALL_BATCHES, COOCCURRENCE, LOADED, TABLES
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -81,35 +81,25 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema) if table is None else table
 
 
-def write_by_batch(df: DataFrame, path: str, batches: DataFrame) -> None:
-    """Write a table in one folder per batch, replacing the given ``batches``.
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-    ``rebalance`` sizes the files at run time: small batches share a task and
-    a batch that holds a large part of the rows is split over many tasks. A batch
-    that has no rows any more is emptied.
+
+def live_loads(spark: SparkSession, out: str) -> DataFrame:
+    """batch_name, load: the last load that has written a batch below ``out``."""
+    rows = read_if_exists(spark, f"{out}/batches", LOADED)
+    return rows.groupBy("batch_name").agg(F.max("load").alias("load"))
+
+
+def read_ingested(spark: SparkSession, out: str, table: str, loads: DataFrame | None = None) -> DataFrame:
+    """A table written by ``write_ingest``: of each batch the rows of its live load.
+
+    ``loads`` (of :func:`live_loads`) may leave out batches. ``batches`` is read
+    with the status of each batch.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    # Only the names of the files of the batches that are replaced.
-    before = _files(spark, path, df.schema).join(batches, "batch_name", "left_semi").checkpoint()
-    (
-        df.hint("rebalance", "batch_name")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_name")
-        .parquet(path)
-    )
-    left_over = _files(spark, path, df.schema).join(before.select("file"), "file", "left_semi")
-    empty = df.drop("batch_name").limit(0)
-    for row in left_over.select("folder").distinct().toLocalIterator():
-        empty.write.mode("overwrite").parquet(row.folder)
-
-
-def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """batch_name, file, folder of a table written by batch."""
-    table = _open(spark, path, schema)
-    if table is None:
-        return spark.createDataFrame([], "batch_name string, file string, folder string")
-    file = F.col("_metadata.file_path")
-    folder = F.url_decode(F.replace(F.regexp_extract(file, "^(.*)/", 1), F.lit("+"), F.lit("%2B")))
-    return table.select("batch_name", file.alias("file"), folder.alias("folder")).distinct()
+    path = f"{out}/{table}"
+    rows = read_if_exists(spark, path, LOADED) if table == "batches" else spark.read.parquet(path)
+    loads = live_loads(spark, out) if loads is None else loads
+    return rows.join(loads, ["batch_name", "load"]).select(*(c for c in rows.columns if c != "load"))

@@ -1,6 +1,7 @@
 """Reading files, flattening, checks and the written tables."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,14 +140,16 @@ def test_write_twice(spark, folder, rows, tmp_path_factory):
 
     def tables():
         return [
-            rows(spark.read.parquet(f"{out}/{t}").drop("file"))
-            for t in ("tweets", "hashtags", "rejected_tweets", "rejected_hashtags")
+            rows(tl.read_ingested(spark, out, t).drop("file"))
+            for t in ("batches", "tweets", "hashtags", "rejected_tweets", "rejected_hashtags")
         ]
 
     tl.write_ingest(raw, out)
     first = tables()
-    assert len(first[0]) == 4
-    tl.write_ingest(raw, out, stored=spark.read.parquet(f"{out}/tweets"))
+    assert [len(t) for t in first[:2]] == [2, 4]
+    tl.write_ingest(raw, out)
+    assert tables() == first
+    tl.write_ingest(raw, out, stored=tl.read_ingested(spark, out, "tweets"))
     assert tables() == first
     # A later batch with ids that are stored adds nothing and keeps the others.
     later = folder.parent / "later"
@@ -154,10 +157,8 @@ def test_write_twice(spark, folder, rows, tmp_path_factory):
     (later / "svt9" / "c.json").write_text(
         json.dumps({"data": [{"id": "3", "author_id": "1"}, {"id": "8", "author_id": "1"}]})
     )
-    tl.write_ingest(
-        tl.read_tweets(spark, str(later)), out, stored=spark.read.parquet(f"{out}/tweets")
-    )
-    ids = spark.read.parquet(f"{out}/tweets").select("tweet_id", "batch_name")
+    tl.write_ingest(tl.read_tweets(spark, str(later)), out)
+    ids = tl.read_ingested(spark, out, "tweets").select("tweet_id", "batch_name")
     assert rows(ids.where("batch_name = 'svt9'")) == [(8, "svt9")]
     assert ids.count() == 5
 
@@ -177,10 +178,24 @@ def test_batch_without_rows_is_emptied(spark, tmp_path, rows):
     tl.write_ingest(tl.read_tweets(spark, str(tmp_path / "in")), out)
     (batch / "a.json").write_text(json.dumps({"data": [{"id": "1", "author_id": "1"}]}))
     tl.write_ingest(tl.read_tweets(spark, str(batch)), out)
-    found = rows(spark.read.parquet(f"{out}/tweets").select("tweet_id", "batch_name"))
+    found = rows(tl.read_ingested(spark, out, "tweets").select("tweet_id", "batch_name"))
     assert found == [(1, "svt 1+å%"), (9, "other")]
-    assert rows(spark.read.parquet(f"{out}/hashtags").select("hashtag")) == [("bad",)]
-    assert rows(spark.read.parquet(f"{out}/rejected_tweets").select("raw_tweet_id")) == [("8",)]
+    assert rows(tl.read_ingested(spark, out, "hashtags").select("hashtag")) == [("bad",)]
+    assert rows(tl.read_ingested(spark, out, "rejected_tweets").select("raw_tweet_id")) == [("8",)]
+
+
+def test_a_failed_load_is_not_seen(spark, folder, rows, tmp_path_factory, monkeypatch):
+    out = str(tmp_path_factory.mktemp("out"))
+    raw = tl.read_tweets(spark, str(folder))
+    tl.write_ingest(raw.where("batch_name = 'inner'"), out)
+    before = rows(tl.read_ingested(spark, out, "tweets"))
+    staging = shared_dir(spark)
+    left = set(os.listdir(staging))
+    spark.createDataFrame([(1,)], "tweet_id long").write.parquet(f"{out}/tweets/load=1")  # of a load that broke off
+    assert rows(tl.read_ingested(spark, out, "tweets")) == before
+    tl.write_ingest(raw, out)
+    assert len(rows(tl.read_ingested(spark, out, "tweets"))) == 4
+    assert not [d for d in set(os.listdir(staging)) - left if d.startswith("ingest-")]
 
 
 def test_duplicates_of_one_hot_id(spark, rows):

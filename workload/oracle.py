@@ -242,6 +242,12 @@ WHERE tweet_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5
     "ingest_tweets": f"WITH {TURNS} SELECT tweet_id, text FROM turns",
     "ingest_hashtags": f"""
 WITH {POST_TAGS} SELECT tweet_id, hashtag, batch_name FROM post_tags WHERE has_author""",
+    "ingest_twice": f"""
+WITH {TURNS}
+SELECT tweet_id, text, 'batch_name=' || CASE WHEN tweet_id % 2 = 0 THEN 'X' ELSE 'second' END AS batch_name
+FROM turns""",
+    "ingested_batches": """
+SELECT 'batch_name=' || unnest(['first', 'second']) AS batch_name, 'NEW' AS batch_status""",
     "next_fit_batches": NEXT_FIT,
     "batches_of_folder": r"""
 SELECT DISTINCT source AS batch_name FROM documents

@@ -175,7 +175,7 @@ def ingest_tweets(spark, sf):
     folder = i.post_files(i.conversation_posts(spark, sf, repeats=True), 100)
     out = fresh_dir(spark, "ingest")
     tl.write_ingest(tl.read_tweets(spark, folder), out)
-    return spark.read.parquet(f"{out}/tweets").select("tweet_id", "text")
+    return tl.read_ingested(spark, out, "tweets").select("tweet_id", "text")
 
 
 @query
@@ -183,7 +183,42 @@ def ingest_hashtags(spark, sf):
     folder = i.post_files(i.order_posts(spark, sf), 5000)
     out = fresh_dir(spark, "ingest")
     tl.write_ingest(tl.read_tweets(spark, folder), out)
-    return spark.read.parquet(f"{out}/hashtags").select("tweet_id", "hashtag", "batch_name")
+    return tl.read_ingested(spark, out, "hashtags").select("tweet_id", "hashtag", "batch_name")
+
+
+def _ingested_twice(spark, sf):
+    """Turns with an even id, then all of them as a second batch, then the first batch again."""
+    out = fresh_dir(spark, "ingest")
+    posts = i.conversation_posts(spark, sf, repeats=False)
+    even = posts.where("tweet_id % 2 = 0").withColumn("batch_name", F.lit("first"))
+    every = posts.withColumn("batch_name", F.lit("second"))
+    for load in (even, every, even):
+        tl.write_ingest(tl.read_tweets(spark, i.post_files(load, 500)), out)
+    return out
+
+
+@query
+def ingest_twice(spark, sf):
+    out = _ingested_twice(spark, sf)
+    return tl.read_ingested(spark, out, "tweets").select("tweet_id", "text", "batch_name")
+
+
+@query
+def ingested_batches(spark, sf):
+    return tl.read_ingested(spark, _ingested_twice(spark, sf), "batches")
+
+
+@query
+def reset_and_fill(spark, sf):
+    spark.sql("CREATE DATABASE IF NOT EXISTS filled")
+    tl.reset_tables(spark, "filled", ("cooccurrence_network", "batches"))
+    edges = tl.cooccurrence(i.hashtags(spark, sf))
+    edges.select("hashtag1", "hashtag2", "weight").write.insertInto("filled.cooccurrence_network")
+    there = [tl.table_exists(spark, f"filled.{t}") for t in ("cooccurrence_network", "batches", "tweets")]
+    empty = spark.table("filled.batches").count()
+    return spark.table("filled.cooccurrence_network").select(
+        "*", F.lit("".join("01"[t] for t in there)).alias("there"), F.lit(empty).alias("empty")
+    )
 
 
 # --- batches ----------------------------------------------------------------
