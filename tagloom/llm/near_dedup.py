@@ -10,8 +10,10 @@ hashes, but most sets need a few rounds only.
 
 Documents with equal sets are one class, and only classes go on. Those that
 share a band meet in a bucket. A shingle that no other class in any bucket has
-cannot be shared, which bounds the similarity of a pair from above (exactly);
-classes and pairs that cannot reach ``PERCENT`` go no further. No bucket emits all
+cannot be shared, which bounds the similarity of a pair from above (exactly), and
+so do parities: of the shingles dealt to ``PARITIES`` groups by hash, a group with
+an odd number in one set and an even one in the other holds a shingle that they
+do not share. Classes and pairs that cannot reach ``PERCENT`` go no further. No bucket emits all
 its pairs: first, everyone in it is compared with one pivot, and classes found
 similar become one component. What different components still have in common
 buckets is compared when that is little (``LEFT_OVER`` pairs per class), else with
@@ -40,6 +42,7 @@ ROWS = 5
 BANDS = 40
 LEFT_OVER = 8
 FASTER = 8
+PARITIES = 1024
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -136,19 +139,36 @@ def _possible(a: str, b: str) -> Column:
     return (100 + PERCENT) * shared >= PERCENT * (F.col(f"n_{a}") + F.col(f"n_{b}"))
 
 
+def _agreeing(a: str, b: str) -> Column:
+    """Whether the parities of two classes leave it possible that they are similar enough."""
+    different = sum(
+        (F.bit_count(F.get(f"parities_{a}", F.lit(i)).bitwiseXOR(F.get(f"parities_{b}", F.lit(i)))) for i in range(PARITIES // 64)),
+        F.lit(0),
+    )
+    return (100 + PERCENT) * different <= (100 - PERCENT) * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+
+
+def parities(found: np.ndarray) -> np.ndarray:
+    """For each group whether a set has an odd number of its shingles, as bits."""
+    odd = np.bincount((found % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node and set of the rows whose text has the set that the node stands for."""
+    """node, set and parities of the rows whose text has the set that the node stands for."""
     import xxhash
 
     for batch in batches:
-        nodes, sets = [], []
+        nodes, sets, odd = [], [], []
         for node, digest, text in zip(*(batch.column(c) for c in ("node", "digest", "text")), strict=True):
-            found = shingles(text.as_py()).tobytes()
-            if xxhash.xxh3_128_digest(found) == digest.as_py():
+            found = shingles(text.as_py())
+            if xxhash.xxh3_128_digest(found.tobytes()) == digest.as_py():
                 nodes.append(node.as_py())
-                sets.append(np.frombuffer(found, np.int64))
+                sets.append(found.view(np.int64))
+                odd.append(parities(found))
+        longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"]
+            [pa.array(nodes, pa.int64()), pa.array(sets, longs), pa.array(odd, longs)], ["node", "set", "parities"]
         )
 
 
@@ -196,12 +216,12 @@ def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int) -
     """a, b: enough similar pairs to connect all that share a bucket and are similar.
 
     ``members`` has key, node, n and own (sizes of its set and of the part that no
-    other class has) of the buckets with two nodes or more, ``keys`` has all bands
-    of each node.
+    other class has) of the buckets with two nodes or more, ``keys`` the bands and
+    parities of each node.
     """
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        columns = [F.col(c).alias(f"{c}_{name}") for c in ("node", "n", "own", "bands", "root") if c in rows.columns]
+        columns = [F.col(c).alias(f"{c}_{name}") for c in ("node", "n", "own", "root", "bands", "parities") if c in rows.columns]
         return rows.select("key", *columns)
 
     # The most central class of a bucket is the one with the least of its own.
@@ -227,15 +247,14 @@ def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int) -
         chance = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30)) / float(1 << 30)
         pivot = F.lit(True) if last else (chance < share / F.col("size"))
         whole = last or not left.where(F.col("size") > share).limit(1).count()
-        if last:
-            left = left.join(keys, "node")
+        left = left.join(keys, "node")
         # Of the buckets that a pair shares, that of its first common band speaks for it.
         earlier = [F.slice(f"bands_{s}", F.lit(1), F.array_position("bands_x", F.col("key")).cast("int") - 1) for s in "xy"]
         once = ~F.arrays_overlap(*earlier) if last else F.lit(True)
         pairs = (
             side(left.withColumn("pivot", pivot).where("pivot"), "x")
             .join(side(left, "y"), "key")
-            .where((F.col("root_x") != F.col("root_y")) & _possible("x", "y"))
+            .where((F.col("root_x") != F.col("root_y")) & _possible("x", "y") & _agreeing("x", "y"))
             .where((F.col("node_x") < F.col("node_y")) & once if last else F.lit(True))
             .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
             .distinct()
@@ -276,7 +295,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_key")).join(wanted, same)
-    sets = texts.select("node", "digest", "text").mapInArrow(_sets, "node long, set array<long>")
+    sets = texts.select("node", "digest", "text").mapInArrow(_sets, "node long, set array<long>, parities array<long>")
     sets = staged(sets, "sets")
     if not sets.groupBy("node").count().where("count > 1").isEmpty():
         sets = staged(sets.dropDuplicates(["node"]), "sets")  # from repeated rows
@@ -295,7 +314,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where(100 * F.col("own") <= (100 - PERCENT) * F.col("n"))
     )
     members = staged(met.join(hopeful, "node"), "members")
-    keys = one_each.select(F.col("row_id").alias("node"), "bands")
+    keys = one_each.select(F.col("row_id").alias("node"), "bands").join(sets.select("node", "parities"), "node")
     roots = components(_links(members, keys, sets, classes.count()))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

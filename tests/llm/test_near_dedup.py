@@ -113,6 +113,17 @@ def test_shingles():
     assert not len(shingles(" \t")) and not len(shingles(None))
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for size, new in ((50, 0), (50, 7), (600, 40), (5000, 900)):
+        a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[new:], rng.integers(0, 2**63, new, dtype=np.uint64))))
+        xor = near_dedup.parities(a) ^ near_dedup.parities(b)
+        bits = sum(int(x).bit_count() for x in xor.view(np.uint64))
+        different = len(np.setxor1d(a, b))
+        assert bits <= different and (bits >= 0.7 * different or different > 100) and (new or not bits)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 9), (9, 8), (8, 7), (7, 6), (6, 5), (20, 20), (30, 31), (31, 30)]
     found = components(spark.createDataFrame(edges, "a long, b long"))
