@@ -244,7 +244,7 @@ WHERE tweet_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5
 WITH {POST_TAGS} SELECT tweet_id, hashtag, batch_name FROM post_tags WHERE has_author""",
     "ingest_twice": f"""
 WITH {TURNS}
-SELECT tweet_id, text, 'batch_name=' || CASE WHEN tweet_id % 2 = 0 THEN 'X' ELSE 'second' END AS batch_name
+SELECT tweet_id, text, 'batch_name=' || CASE WHEN tweet_id % 2 = 0 THEN 'first' ELSE 'second' END AS batch_name
 FROM turns""",
     "ingested_batches": """
 SELECT 'batch_name=' || unnest(['first', 'second']) AS batch_name, 'NEW' AS batch_status""",
@@ -282,6 +282,7 @@ SELECT tweet_id, array_to_string(tags, ',') AS hashtags FROM sets WHERE len(tags
     "set_pairs": SET_PAIRS,
     "hashtag_pairs": SET_PAIRS,
     "cooccurrence": f"WITH {EDGES} SELECT * FROM edges",
+    "reset_and_fill": f"WITH {EDGES} SELECT *, '110' AS there, CAST(0 AS BIGINT) AS batches FROM edges",
     "hashtag_network": f"""
 WITH {HASHTAGS},
 tags AS (

@@ -210,14 +210,18 @@ def ingested_batches(spark, sf):
 
 @query
 def reset_and_fill(spark, sf):
-    spark.sql("CREATE DATABASE IF NOT EXISTS filled")
-    tl.reset_tables(spark, "filled", ("cooccurrence_network", "batches"))
-    edges = tl.cooccurrence(i.hashtags(spark, sf))
-    edges.select("hashtag1", "hashtag2", "weight").write.insertInto("filled.cooccurrence_network")
-    there = [tl.table_exists(spark, f"filled.{t}") for t in ("cooccurrence_network", "batches", "tweets")]
-    empty = spark.table("filled.batches").count()
-    return spark.table("filled.cooccurrence_network").select(
-        "*", F.lit("".join("01"[t] for t in there)).alias("there"), F.lit(empty).alias("empty")
+    """Tables made, filled, emptied and filled again; which of three are there, and a row count."""
+    folder = fresh_dir(spark, "filled")
+    database = folder.rpartition("/")[2].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    edges = tl.cooccurrence(i.hashtags(spark, sf)).select("hashtag1", "hashtag2", "weight")
+    for _ in range(2):
+        tl.reset_tables(spark, database, ("cooccurrence_network", "batches"))
+        edges.write.insertInto(f"{database}.cooccurrence_network")
+    there = [tl.table_exists(spark, f"{database}.{t}") for t in ("cooccurrence_network", "batches", "tweets")]
+    batches = spark.table(f"{database}.batches").count()
+    return spark.table(f"{database}.cooccurrence_network").select(
+        "*", F.lit("".join("01"[t] for t in there)).alias("there"), F.lit(batches).cast("long").alias("batches")
     )
 
 
