@@ -214,6 +214,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"])
+def test_a_cluster_must_name_its_shared_folder(master):
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    Session.sparkContext.master = master
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_tables(spark, rows):
     spark.sql("CREATE DATABASE IF NOT EXISTS posts")
     tl.reset_tables(spark, "posts")

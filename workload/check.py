@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -43,7 +44,8 @@ def difference(spark_result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str
 
 
 def main(sf_dir: str, *names: str) -> int:
-    spark = SparkSession.builder.getOrCreate()
+    shared = tempfile.mkdtemp(prefix="check-")
+    spark = SparkSession.builder.config("spark.checkpoint.dir", shared).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
