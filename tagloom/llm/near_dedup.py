@@ -16,7 +16,7 @@ an odd number in one set and an even one in the other holds a shingle that they
 do not share. Classes and pairs that cannot reach ``PERCENT`` go no further. No bucket emits all
 its pairs: first, everyone in it is compared with one pivot, and classes found
 similar become one component. What different components still have in common
-buckets is compared when that is little (``LEFT_OVER`` pairs per class), else with
+buckets is looked at when that is little (``LEFT_OVER`` pairs per class), else with
 more pivots, ``FASTER`` times as many each time, until no pair of different
 components that shares a bucket is left. Pairs within a component need no
 comparison. Every comparison is exact, on the full sets.
@@ -40,7 +40,7 @@ WORDS = 4
 PERCENT = 80
 ROWS = 5
 BANDS = 40
-LEFT_OVER = 8
+LEFT_OVER = 256
 FASTER = 8
 PARITIES = 1024
 
