@@ -55,10 +55,11 @@ class Encoder:
     word, or letters and the punctuation behind them. So texts are cut there and
     each distinct word goes through the library once. Other vocabularies, and
     texts that hold a special token, go through it whole. Texts may be of any
-    length.
+    length. ``words`` distinct words are kept, and ``characters`` of text encoded
+    together: more is faster and needs more memory.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHED_WORDS, characters: int = _AT_ONCE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
@@ -77,16 +78,17 @@ class Encoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
         )
-        self.heads = Kept(CACHED_WORDS)  # letters that follow a space
-        self.others = Kept(CACHED_WORDS)  # what follows no space
+        self.heads = Kept(words)  # letters that follow a space
+        self.others = Kept(words)  # what follows no space
+        self.characters = characters
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, *args: str | int) -> Encoder:
         """The one that this worker process has, with the words it knows from earlier tasks."""
         kept = sys.modules.setdefault("_tagloom_worker", SimpleNamespace(encoders={}))
-        if path not in kept.encoders:
-            kept.encoders[path] = cls(path)
-        return kept.encoders[path]
+        if args not in kept.encoders:
+            kept.encoders[args] = cls(*args)
+        return kept.encoders[args]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -185,7 +187,7 @@ class Encoder:
             else:
                 waiting.append(text)
                 size += len(text)
-                if size >= _AT_ONCE:
+                if size >= self.characters:
                     yield from self._encode(waiting)
                     waiting, size = [], 0
         yield from self._encode(waiting)

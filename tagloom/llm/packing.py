@@ -27,6 +27,9 @@ from tagloom.llm.encoding import Encoder
 WINDOW = 1024
 END_ID = 0
 _ROWS = 20_000
+#: What a task may keep and take together for encoding; it holds little else.
+ENCODER_WORDS = 400_000
+ENCODER_CHARACTERS = 12_000_000
 
 PIECES = pa.schema(
     [
@@ -97,7 +100,7 @@ class Windows:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder.of(path)
+    encoder = Encoder.of(path, ENCODER_WORDS, ENCODER_CHARACTERS)
     windows = Windows(size)
     end = np.array([end_id], "<u4")
     part = TaskContext.get().partitionId()
