@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
@@ -48,6 +49,15 @@ class Kept:
             self.old, self.new = self.new, {}
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system; idle workers stay for a while."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Encoder:
     """``encode_batch(texts, add_special_tokens=False)``, faster for byte-level vocabularies.
 

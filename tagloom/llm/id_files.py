@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import lean_batches
-from tagloom.llm.encoding import Encoder
+from tagloom.llm.encoding import Encoder, give_back
 from tagloom.sources.tables import fresh_dir
 
 BLOCK = 256
@@ -200,6 +200,7 @@ def _write(batches: Iterable[pa.RecordBatch], tokenizer: str, end_id: int) -> It
                 docs, size, number = [], 0, number + 1
     if docs:
         yield row()
+    give_back()
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
@@ -240,6 +241,7 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["doc_id", "shard", "start", "n_tokens", "ids_crc32"],
                 )
                 before += s.ids
+    give_back()
 
 
 def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import lean_batches, staged, with_key
 from tagloom.llm.components import components
+from tagloom.llm.encoding import give_back
 
 WORDS = 4
 PERCENT = 80
@@ -131,6 +132,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["doc_id", "content", "n_shingles", "digest", "bands"],
         )
+    give_back()
 
 
 def _possible(a: str, b: str) -> Column:
@@ -190,6 +192,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"]
         )
+    give_back()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import lean_batches, staged
-from tagloom.llm.encoding import Encoder
+from tagloom.llm.encoding import Encoder, give_back
 
 WINDOW = 1024
 END_ID = 0
@@ -141,6 +141,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int)
         if len(rows) >= _ROWS:
             yield flush()
     yield flush()
+    give_back()
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
