@@ -39,8 +39,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; texts without words stay."""
-    return drop_near_duplicates(docs)
+    """Of each group of near duplicates the document with the smallest id; texts without words stay.
+
+    Near duplicates are 80% similar in their shingles of five words (op2 has four).
+    """
+    return drop_near_duplicates(docs, words=5, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near duplicates by fast similarity sketches, banding and exact verification.
 
-A document is the set of its shingles of ``WORDS`` words. Its sketch has ``ROWS *
+A document is the set of its shingles of ``words`` words. Its sketch has ``ROWS *
 BANDS`` coordinates. In round after round every shingle is thrown into one bin by
 a hash of that round; a bin takes the smallest value of the first round that
 reaches it. After as many rounds as bins, each further round serves one bin with
@@ -13,7 +13,7 @@ share a band meet in a bucket. A shingle that no other class in any bucket has
 cannot be shared, which bounds the similarity of a pair from above (exactly), and
 so do parities: of the shingles dealt to ``PARITIES`` groups by hash, a group with
 an odd number in one set and an even one in the other holds a shingle that they
-do not share. Classes and pairs that cannot reach ``PERCENT`` go no further. No bucket emits all
+do not share. Classes and pairs that cannot reach ``percent`` go no further. No bucket emits all
 its pairs: first, everyone in it is compared with one pivot, and classes found
 similar become one component. What different components still have in common
 buckets is looked at when that is little (``LEFT_OVER`` pairs per class), else with
@@ -26,7 +26,7 @@ A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^40 < 2e-7.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ from tagloom.llm.components import components
 from tagloom.llm.encoding import give_back
 
 WORDS = 4
+#: Bands are laid out for this similarity; smaller ones they would miss too often.
 PERCENT = 80
 ROWS = 5
 BANDS = 40
@@ -112,42 +113,45 @@ def bands(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
-
-    for batch in batches:
-        sizes, digests, keys = [], [], []
-        for text in batch.column("text"):
-            found = shingles(text.as_py())
-            sizes.append(len(found))
-            digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-            keys.append(bands(sketch(found)) if len(found) else None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("content"),
-                pa.array(sizes, pa.int64()),
-                pa.array(digests, pa.binary()),
-                pa.array(keys, pa.list_(pa.int64())),
-            ],
-            ["doc_id", "content", "n_shingles", "digest", "bands"],
-        )
-    give_back()
-
-
-def _possible(a: str, b: str) -> Column:
+def _sketched(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            sizes, digests, keys = [], [], []
+            for text in batch.column("text"):
+                found = shingles(text.as_py(), words)
+                sizes.append(len(found))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
+                keys.append(bands(sketch(found)) if len(found) else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("content"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "content", "n_shingles", "digest", "bands"],
+            )
+        give_back()
+
+    return sketched
+
+
+def _possible(a: str, b: str, percent: int) -> Column:
     """Whether two classes may be similar enough: they share no shingle that is their own."""
     shared = F.least(F.col(f"n_{a}") - F.col(f"own_{a}"), F.col(f"n_{b}") - F.col(f"own_{b}"))
-    return (100 + PERCENT) * shared >= PERCENT * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+    return (100 + percent) * shared >= percent * (F.col(f"n_{a}") + F.col(f"n_{b}"))
 
 
-def _agreeing(a: str, b: str) -> Column:
+def _agreeing(a: str, b: str, percent: int) -> Column:
     """Whether the parities of two classes leave it possible that they are similar enough."""
     different = sum(
         (F.bit_count(F.get(f"parities_{a}", F.lit(i)).bitwiseXOR(F.get(f"parities_{b}", F.lit(i)))) for i in range(PARITIES // 64)),
         F.lit(0),
     )
-    return (100 + PERCENT) * different <= (100 - PERCENT) * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+    return (100 + percent) * different <= (100 - percent) * (F.col(f"n_{a}") + F.col(f"n_{b}"))
 
 
 def parities(found: np.ndarray) -> np.ndarray:
@@ -156,50 +160,58 @@ def parities(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """node, set and parities of the rows whose text has the set that the node stands for."""
-    import xxhash
 
-    for batch in batches:
-        nodes, sets, odd = [], [], []
-        for node, digest, text in zip(*(batch.column(c) for c in ("node", "digest", "text")), strict=True):
-            found = shingles(text.as_py())
-            if xxhash.xxh3_128_digest(found.tobytes()) == digest.as_py():
-                nodes.append(node.as_py())
-                sets.append(found.view(np.int64))
-                odd.append(parities(found))
-        longs = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(sets, longs), pa.array(odd, longs)], ["node", "set", "parities"]
-        )
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
+        for batch in batches:
+            nodes, sets, odd = [], [], []
+            for node, digest, text in zip(*(batch.column(c) for c in ("node", "digest", "text")), strict=True):
+                found = shingles(text.as_py(), words)
+                if xxhash.xxh3_128_digest(found.tobytes()) == digest.as_py():
+                    nodes.append(node.as_py())
+                    sets.append(found.view(np.int64))
+                    odd.append(parities(found))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(sets, longs), pa.array(odd, longs)], ["node", "set", "parities"]
+            )
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b) whose sets are similar enough."""
-    for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            a, b = (s.values.to_numpy().view(np.uint64) for s in (x, y))
-            if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
-                linked.append(False)
-                continue
-            small, large = (a, b) if len(a) < len(b) else (b, a)
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            both = int(np.count_nonzero(large[at] == small))
-            linked.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        chosen = pa.array(linked, pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"]
-        )
-    give_back()
+    return sets_of
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _similar(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs (a, b) whose sets are similar enough."""
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+                a, b = (s.values.to_numpy().view(np.uint64) for s in (x, y))
+                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                    linked.append(False)
+                    continue
+                small, large = (a, b) if len(a) < len(b) else (b, a)
+                at = np.searchsorted(large, small)
+                at[at == len(large)] = 0
+                both = int(np.count_nonzero(large[at] == small))
+                linked.append(100 * both >= percent * (len(a) + len(b) - both))
+            chosen = pa.array(linked, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"]
+            )
+        give_back()
+
+    return similar
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     with_sets = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-    return with_sets.mapInArrow(_similar, "a long, b long")
+    return with_sets.mapInArrow(_similar(percent), "a long, b long")
 
 
 def _crossing(members: DataFrame) -> DataFrame:
@@ -215,7 +227,7 @@ def _crossing(members: DataFrame) -> DataFrame:
     return members.join(open_buckets, "key").select("key", *columns, "size", "pairs")
 
 
-def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int) -> DataFrame:
+def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int, percent: int) -> DataFrame:
     """a, b: enough similar pairs to connect all that share a bucket and are similar.
 
     ``members`` has key, node, n and own (sizes of its set and of the part that no
@@ -231,11 +243,11 @@ def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int) -
     central = F.struct((F.col("own") / F.col("n")).alias("part"), "node", "n", "own")
     pivots = members.groupBy("key").agg(F.min(central).alias("p")).select("key", "p.*")
     pairs = side(pivots, "a").join(side(members, "b"), "key").where("node_a != node_b")
-    pairs = pairs.where(_possible("a", "b")).select(
+    pairs = pairs.where(_possible("a", "b", percent)).select(
         F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
     )
     tested = staged(pairs.distinct(), "tested")
-    links = staged(_verified(tested, sets), "links")
+    links = staged(_verified(tested, sets, percent), "links")
     share = 1
     while True:
         roots = components(links)
@@ -257,31 +269,35 @@ def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int) -
         pairs = (
             side(left.withColumn("pivot", pivot).where("pivot"), "x")
             .join(side(left, "y"), "key")
-            .where((F.col("root_x") != F.col("root_y")) & _possible("x", "y") & _agreeing("x", "y"))
+            .where((F.col("root_x") != F.col("root_y")) & _possible("x", "y", percent) & _agreeing("x", "y", percent))
             .where((F.col("node_x") < F.col("node_y")) & once if last else F.lit(True))
             .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
             .distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
         pairs = staged(pairs, "pairs")
-        links = staged(links.unionByName(_verified(pairs, sets)), "links")
+        links = staged(links.unionByName(_verified(pairs, sets, percent)), "links")
         if whole:
             return links
         tested = tested.unionByName(pairs)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, content, digest: one row per row of ``docs``.
 
     ``docs`` needs doc_id and text; other columns are ignored. ``component_id`` is
     the smallest doc_id that links lead to, null if all ids there are null. Texts
     without words (or null) have no shingles and no links: each is its own
     component. Repeated rows have equal results. An empty table gives an empty one.
+    Sets of shingles of ``words`` words are linked from ``percent`` per cent
+    similarity on.
     """
+    if words < 1 or not PERCENT <= percent <= 100:
+        raise ValueError(f"words must be 1 or more and percent from {PERCENT} to 100, not {words} and {percent}")
     lean_batches(docs.sparkSession)
     schema = "doc_id {}, content long, n_shingles long, digest binary, bands array<long>"
     rows = docs.select("doc_id", F.xxhash64("text").alias("content"), "text").mapInArrow(
-        _sketched, schema.format(docs.schema["doc_id"].dataType.simpleString())
+        _sketched(words), schema.format(docs.schema["doc_id"].dataType.simpleString())
     )
     rows = staged(rows.withColumn("row_id", F.monotonically_increasing_id()), "sketches")
     with_words = rows.where("n_shingles > 0")
@@ -298,7 +314,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_key")).join(wanted, same)
-    sets = texts.select("node", "digest", "text").mapInArrow(_sets, "node long, set array<long>, parities array<long>")
+    sets = texts.select("node", "digest", "text").mapInArrow(_sets(words), "node long, set array<long>, parities array<long>")
     sets = staged(sets, "sets")
     if not sets.groupBy("node").count().where("count > 1").isEmpty():
         sets = staged(sets.dropDuplicates(["node"]), "sets")  # from repeated rows
@@ -314,11 +330,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(own, "node", "left")
         .join(known, "node")
         .select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
-        .where(100 * F.col("own") <= (100 - PERCENT) * F.col("n"))
+        .where(100 * F.col("own") <= (100 - percent) * F.col("n"))
     )
     members = staged(met.join(hopeful, "node"), "members")
     keys = one_each.select(F.col("row_id").alias("node"), "bands").join(sets.select("node", "parities"), "node")
-    roots = components(_links(members, keys, sets, classes.count()))
+    roots = components(_links(members, keys, sets, classes.count(), percent))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_digest = rooted.join(smallest, "root").select("digest", "component_id", F.lit(True).alias("linked"))
@@ -336,13 +352,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component of ``docs``, columns as they were; texts without words stay.
 
     It is the one with the component's id. If several rows of a component have
     that id, one of them stays.
     """
-    found = near_duplicates(docs).where("kept")
+    found = near_duplicates(docs, words, percent).where("kept")
     one = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("content").alias("_content"))
     wordless = found.where("n_shingles = 0").select("component_id", F.col("content").alias("_content"))
     stay = one.unionByName(wordless).distinct().withColumnRenamed("component_id", "_id")

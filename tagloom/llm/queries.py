@@ -26,7 +26,7 @@ def op1_patched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fast_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(documents(spark, sf_dir))
+    found = near_duplicates(documents(spark, sf_dir), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
