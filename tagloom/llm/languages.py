@@ -3,10 +3,11 @@
 The subwords of a text are the grams of 3 and 4 bytes of its lower-cased words, a
 word's edges included, hashed to ``BUCKETS``. A text is the mean of their
 embeddings; a linear softmax over it gives the languages. Both are trained
-together by stochastic gradient descent in numpy, on a sample of at most
-``PER_LANGUAGE`` times ``MAX_LANGUAGES`` labelled rows, of which executors send
-hashed counts, never texts. A fifth of the sample calibrates the scores (a
-temperature) and sets the score below which a prediction is not accepted.
+together by stochastic gradient descent in numpy, on a sample of the labelled rows,
+of which executors send hashed counts, never texts. It has rows of every language
+that has a label: ``PER_LANGUAGE``, or of very many languages so many fewer that
+they are ``ROWS`` together, but one at least. A fifth of the sample calibrates the
+scores (a temperature) and sets the score below which a prediction is not accepted.
 
 As the classifier is linear in the mean, a bucket needs one number per language
 for predicting. They are whole numbers, so sums do not depend on how texts are
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import hash52, lean_batches, staged
@@ -29,7 +30,7 @@ BUCKETS_LOG2 = 15
 BUCKETS = 1 << BUCKETS_LOG2
 DIMENSIONS = 16
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+ROWS = 25_600
 #: Part of right predictions that may be turned down.
 TURNED_DOWN = 0.005
 UNDETERMINED = "und"
@@ -118,21 +119,29 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def sample(docs: DataFrame, per_language: int, max_languages: int) -> DataFrame:
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int | None = None, rows: int = ROWS) -> DataFrame:
     """lang and hashed counts of a bounded sample of the labelled rows that may be learnt from.
 
-    A row is in it if a hash of its id is small enough for its language. At most
-    ``per_language`` rows a language are meant, and that many in all are the bound.
+    A row is in it if a hash of its id is small enough for its language, or the
+    smallest of its language, so that each has one. At most ``per_language`` rows a
+    language are meant. ``rows``, or one a language if there are more of them, are
+    the bound, divided equally. ``max_languages`` asks for the most frequent ones
+    only, ``per_language`` times as many rows being the bound.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(
         "lang", "text", hash52("language", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("chance")
     )
-    counts = staged(
-        labelled.groupBy(F.col("lang").alias("_lang")).count().orderBy(F.desc("count"), "_lang").limit(max_languages),
-        "languages",
-    )
-    small = F.col("chance").cast("double") * F.col("count") < F.lit(float(2**52)) * per_language
-    chosen = labelled.join(F.broadcast(counts), F.col("lang") == F.col("_lang")).where(small)
+    counts = labelled.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("count"), F.min("chance").alias("least"))
+    if max_languages is not None:
+        counts, rows = counts.orderBy(F.desc("count"), "_lang").limit(max_languages), per_language * max_languages
+    counts = staged(counts, "languages")
+    bound = max(1, rows // max(1, counts.count()))
+    small = F.col("chance").cast("double") * F.col("count") < F.lit(float(2**52)) * min(per_language, bound)
+    chosen = labelled.join(counts, F.col("lang") == F.col("_lang")).where(small | (F.col("chance") == F.col("least")))
+    # More than meant may have an id's chance, if it is repeated. Tasks drop theirs before the shuffle
+    # (Spark does that for limits up to 1000).
+    bound = min(bound, 2 * per_language)
+    first = Window.partitionBy("lang").orderBy("chance", F.xxhash64("text"), "text")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -141,7 +150,7 @@ def sample(docs: DataFrame, per_language: int, max_languages: int) -> DataFrame:
                 {"lang": b["lang"], "chance": b["chance"], "used": [u for u, _ in found], "times": [t for _, t in found]}
             )
 
-    bag = chosen.select("lang", "text", "chance").limit(per_language * max_languages)
+    bag = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= bound).select("lang", "text", "chance")
     return bag.mapInPandas(counted, "lang string, chance long, used array<int>, times array<float>")
 
 
@@ -173,20 +182,22 @@ def _train(rows: pd.DataFrame, languages: list[str], epochs: int = 12, rate: flo
     return embeddings.astype(np.float64) @ output, bias.astype(np.float64)
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int | None = None) -> Model | None:
     """A model of ``docs`` (doc_id, text, lang), or None if no row has a label to learn from."""
     rows = sample(docs, per_language, max_languages).toPandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["chance", "lang"], kind="stable", ignore_index=True)
     languages = sorted(rows["lang"].unique())
-    check = rows.index % 5 == 4
+    # Of each language at least the first row is learnt from.
+    check = (rows.index % 5 == 4) & (rows.groupby("lang").cumcount() > 0)
     # With very few rows all are learnt from, and the scores stay as they are.
-    learn = rows if len(rows) < 50 else rows[~check]
+    calibrated = len(rows) >= 50 and check.any()
+    learn = rows[~check] if calibrated else rows
     table, bias = _train(learn, languages)
     model = Model(languages, np.round(table * _FIXED).astype(np.int64), bias, 1.0, 0.0)
     tried = rows[check]
-    if len(rows) >= 50:
+    if calibrated:
         times = [np.asarray(t, np.int64) for t in tried["times"]]
         sums = np.array([t @ model.weights[np.asarray(u, np.int64)] for u, t in zip(tried["used"], times, strict=True)])
         counts = np.array([t.sum() for t in times])
