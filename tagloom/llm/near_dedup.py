@@ -283,10 +283,12 @@ def _links(members: DataFrame, keys: DataFrame, sets: DataFrame, classes: int, p
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, content, digest: one row per row of ``docs``.
+    """doc_id, n_shingles, component_id, kept, content, digest, root: one row per row of ``docs``.
 
     ``docs`` needs doc_id and text; other columns are ignored. ``component_id`` is
-    the smallest doc_id that links lead to, null if all ids there are null. Texts
+    the smallest doc_id that links lead to, null if all ids there are null.
+    ``root`` tells components apart where ids are null or repeated: it is a
+    number of one row of the component, null for texts without words. Texts
     without words (or null) have no shingles and no links: each is its own
     component. Repeated rows have equal results. An empty table gives an empty one.
     Sets of shingles of ``words`` words are linked from ``percent`` per cent
@@ -337,7 +339,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     roots = components(_links(members, keys, sets, classes.count(), percent))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_digest = rooted.join(smallest, "root").select("digest", "component_id", F.lit(True).alias("linked"))
+    of_digest = rooted.join(smallest, "root").select("digest", "component_id", "root", F.lit(True).alias("linked"))
     return (
         rows.join(of_digest, "digest", "left")
         .withColumn("component_id", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")))
@@ -348,6 +350,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
             "content",
             "digest",
+            "root",
         )
     )
 
@@ -355,11 +358,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component of ``docs``, columns as they were; texts without words stay.
 
-    It is the one with the component's id. If several rows of a component have
-    that id, one of them stays.
+    It is a row with the component's id (the smallest; null only if all ids of
+    the component are null). If several rows of one component have that id, the
+    one whose text has the smallest hash stays; repeated rows count once.
+    Components are told apart by their root, not by their id, so different texts
+    that share an id, or have none, are never merged. Null and empty texts have
+    no words: each distinct (id, text) stays once. An empty table gives an empty
+    one; very long texts are read whole.
     """
     found = near_duplicates(docs, words, percent).where("kept")
-    one = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("content").alias("_content"))
+    one = found.where("n_shingles > 0").groupBy("root").agg(
+        F.min(F.struct("content", "component_id")).alias("_pick")
+    )
+    one = one.select(F.col("_pick.component_id").alias("component_id"), F.col("_pick.content").alias("_content"))
     wordless = found.where("n_shingles = 0").select("component_id", F.col("content").alias("_content"))
     stay = one.unionByName(wordless).distinct().withColumnRenamed("component_id", "_id")
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))

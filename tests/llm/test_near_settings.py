@@ -64,3 +64,13 @@ def test_percent(spark):
     for words, percent in ((0, 80), (4, 79), (4, 101)):
         with pytest.raises(ValueError):
             near_duplicates(docs, words, percent)
+
+
+def test_null_and_shared_ids_keep_different_texts(spark):
+    """Components are told apart by root: unrelated texts with null or shared ids all stay."""
+    texts = [" ".join(f"{k}{i}" for i in range(30)) for k in "abcd"]
+    for ids in ([None, None, None, 5], [9, 9, 9, 5]):
+        rows = list(zip(ids, texts)) + [(ids[0], texts[0])]  # and a repeated row
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        kept = sorted(map(tuple, corpus_pipeline.near_stage(spark, docs, "").collect()), key=repr)
+        assert kept == sorted(set(zip(ids, texts)), key=repr)

@@ -2,7 +2,7 @@ import pytest
 
 import corpus_pipeline
 import test_exact_dedup
-import test_near_dedup
+import test_near_settings
 import test_quality
 import test_tokens
 from tokenizers import Tokenizer
@@ -40,7 +40,7 @@ def test_stages_against_brute_force(spark, small, tmp_path, library):
     now = {r.doc_id for r in exact.collect()}
     assert now == left(test_exact_dedup.expected, ids)
     last = {r.doc_id for r in near.collect()}
-    assert last == left(test_near_dedup.expected, now)
+    assert last == test_near_settings.left([(d, rows[d].text) for d in now], 5)
     taken = [r.doc_id for r in mixed.collect()]
     assert set(taken) <= last and max(map(taken.count, last)) <= 2
     for stage in (good, exact, near, mixed):
