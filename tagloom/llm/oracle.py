@@ -130,4 +130,60 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM bits
 """
 
-ORACLE = {"op3_exact_dedup": _EXACT, "op4_curriculum_mix": _MIX, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}
+
+
+# op11: parts are (vec_row, p, j, x), codebooks (p, e, j, c); j is a position within a part.
+def _assign(book: str) -> str:
+    """Each part's nearest entry of ``book``, ties to the lower index."""
+    return f"""(
+    SELECT vec_row, p, arg_min(e, dist * 64 + e) AS e, min(dist) AS dist FROM (
+        SELECT x.vec_row, x.p, b.e, sum((x.x - b.c) * (x.x - b.c)) AS dist
+        FROM comps x JOIN {book} b ON x.p = b.p AND x.j = b.j GROUP BY x.vec_row, x.p, b.e
+    ) GROUP BY vec_row, p)"""
+
+
+def _update(book: str, assigned: str) -> str:
+    """Used entries become the componentwise floor of their parts' mean; unused ones stay."""
+    return f"""(
+    SELECT b.p, b.e, b.j, coalesce(n.c, b.c) AS c FROM {book} b LEFT JOIN (
+        SELECT p, e, j, ((s - ((s % cnt) + cnt) % cnt) // cnt)::BIGINT AS c FROM (
+            SELECT a.p, a.e, x.j, sum(x.x) AS s, count(*) AS cnt
+            FROM {assigned} a JOIN comps x USING (vec_row, p) GROUP BY a.p, a.e, x.j
+        )
+    ) n USING (p, e, j))"""
+
+
+_CODES = f"""
+WITH kept0 AS (
+    SELECT row_number() OVER () AS vec_row, vec_id, label,
+           list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % 16 = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR NOT abs(x) < 4096)) = 0
+), first AS (
+    SELECT len(v) AS d FROM kept0 ORDER BY vec_id NULLS LAST, v LIMIT 1
+), kept AS (
+    SELECT kept0.* FROM kept0, first WHERE len(v) = d
+), comps AS (
+    SELECT vec_row, (i - 1) // (d // 16) AS p, (i - 1) % (d // 16) AS j, v[i] AS x
+    FROM (SELECT vec_row, v, generate_subscripts(v, 1) AS i FROM kept), first
+), starts AS (
+    SELECT vec_row, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e
+    FROM kept ORDER BY vec_id NULLS LAST, v LIMIT 64
+), book0 AS (
+    SELECT x.p, s.e, x.j, x.x AS c FROM starts s JOIN comps x USING (vec_row)
+), book1 AS {_update("book0", _assign("book0"))},
+book2 AS {_update("book1", _assign("book1"))},
+final AS {_assign("book2")},
+coded AS (
+    SELECT vec_row, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error
+    FROM final GROUP BY vec_row
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, j)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_row)
+"""
+
+ORACLE = {
+    "op11_equal_average_codes": _CODES,
+    "op3_exact_dedup": _EXACT, "op4_curriculum_mix": _MIX, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}

@@ -17,6 +17,7 @@ from tagloom.llm.quality import judged
 from tagloom.llm.repeats import remove_repeats
 from tagloom.llm.sharding import shard_documents
 from tagloom.llm.token_counts import token_counts
+from tagloom.llm.vector_codes import digest, train_codes
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -81,3 +82,14 @@ QUERIES = {
         op10_heap_token_counts,
     )
 }
+
+
+def op11_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = train_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    totals = rows.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    return rows.join(totals, rows["label"].eqNullSafe(totals["_label"])).select(
+        "vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256")
+    )
+
+
+QUERIES[op11_equal_average_codes.__name__] = op11_equal_average_codes
