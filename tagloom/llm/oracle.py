@@ -184,6 +184,37 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 FROM coded JOIN kept USING (vec_row)
 """
 
+_BENCH_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_LEAKS = f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, doc_id, {_BENCH_WORDS} AS w FROM documents
+), b AS (
+    SELECT item_id, {_BENCH_WORDS} AS w FROM benchmark
+), win AS (
+    SELECT DISTINCT item_id, w[i:i + 9] AS win, len(w[i:i + 9]) AS n
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM win
+), dwin AS (
+    SELECT row_no, i, n, w[i:i + n - 1] AS win
+    FROM (SELECT row_no, w, unnest(range(1, len(w) + 1)) AS i FROM d), lengths WHERE i + n - 1 <= len(w)
+), hits AS (
+    SELECT dwin.row_no, dwin.i, dwin.n, win.item_id FROM dwin JOIN win ON dwin.n = win.n AND dwin.win = win.win
+), hit_words AS (
+    SELECT row_no, count(DISTINCT place) AS n_hit
+    FROM (SELECT row_no, unnest(range(i, i + n)) AS place FROM hits) GROUP BY row_no
+), items AS (
+    SELECT row_no, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+    FROM (SELECT DISTINCT row_no, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY row_no
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (row_no) LEFT JOIN items USING (row_no)
+"""
+
+
 ORACLE = {
+    "op12_benchmark_decontamination": _LEAKS,
     "op11_equal_average_codes": _CODES,
     "op3_exact_dedup": _EXACT, "op4_curriculum_mix": _MIX, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import documents
+from tagloom.llm.decontamination import contamination_report
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.id_files import id_files
 from tagloom.llm.languages import identify
@@ -93,3 +94,11 @@ def op11_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES[op11_equal_average_codes.__name__] = op11_equal_average_codes
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination_report(documents(spark, sf_dir), benchmark, window=10)
+
+
+QUERIES[op12_benchmark_decontamination.__name__] = op12_benchmark_decontamination

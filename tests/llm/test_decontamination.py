@@ -1,0 +1,96 @@
+import hashlib
+import re
+
+import pytest
+
+from tagloom.llm import decontamination
+from tagloom.llm.decontamination import contamination_report, decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) if text else []
+
+
+def brute(docs, items, size=10):
+    """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, by looking at every place."""
+    windows = []
+    for item_id, text in items:
+        w = words(text)
+        windows += [(item_id, tuple(w[i : i + size])) for i in range(max(len(w) - size + 1, 1))] if w else []
+    out = []
+    for doc_id, text in docs:
+        w = words(text)
+        hit, found = set(), set()
+        for item_id, win in windows:
+            for i in range(len(w) - len(win) + 1):
+                if tuple(w[i : i + len(win)]) == win:
+                    hit |= set(range(i, i + len(win)))
+                    if item_id is not None:
+                        found.add(item_id)
+        names = ",".join(sorted(map(str, found)))
+        out.append((doc_id, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+ITEMS = [
+    (1, "The Quick brown fox jumps over the lazy dog near the river bank today"),
+    (2, "Short ITEM"),  # fewer than ten words: one window
+    (3, "..."),  # no words: no window
+    (None, "null id words still hit here"),
+    (4, "The Quick brown fox jumps over the lazy dog near the river"),  # overlapping item
+    (5, "Ünïcode wörds ÄND 12 digits"),
+]
+DOCS = [
+    (1, "the quick brown fox jumps over the lazy dog near the river bank today and more"),
+    (2, "prefix: THE QUICK BROWN FOX jumps over the lazy dog near the river, then short item!"),
+    (3, None),
+    (4, ""),
+    (5, "nothing to see here at all"),
+    (5, "a short item twice: short item"),  # repeated id
+    (None, "null id words still hit here"),
+    (6, "ünïcode wörds ÄND 12 digits, ünïcode wörds änd 12 digits"),  # Ä is not lowered
+    (7, " ".join(["filler"] * 5000) + " short item"),  # a long text
+]
+
+
+@pytest.fixture
+def tables(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    return docs, items
+
+
+def report(found):
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def test_against_brute_force(tables, edge, edge_rows, spark):
+    docs, items = tables
+    assert report(contamination_report(docs, items)) == brute(DOCS, ITEMS)
+    from_edge = spark.createDataFrame([(3, edge_rows[0][1][:400]), (9, "lagoon marsh")], "item_id long, text string")
+    assert report(contamination_report(edge, from_edge)) == brute([(r[0], r[1]) for r in edge_rows], [(3, edge_rows[0][1][:400]), (9, "lagoon marsh")])
+
+
+def test_blocks_give_the_same(tables, monkeypatch):
+    docs, items = tables
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 40)
+    assert report(contamination_report(docs, items)) == brute(DOCS, ITEMS)
+
+
+def test_empty(tables):
+    docs, items = tables
+    assert contamination_report(docs.limit(0), items).count() == 0
+    assert {r.n_hit for r in contamination_report(docs, items.limit(0)).collect()} == {0}
+
+
+def test_remove(tables, edge):
+    docs, items = tables
+    left = decontaminate(docs, items)
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted([d for d in DOCS if not brute([d], ITEMS)[0][5]], key=repr)
+    cut = {r.text for r in decontaminate(docs, items, remove="spans").collect()}
+    assert "prefix: , then !" in cut and None in cut and "a  twice: " in cut
+    assert decontaminate(edge, items).columns == edge.columns
+    with pytest.raises(ValueError):
+        decontaminate(docs, items, remove="lines")
