@@ -214,7 +214,53 @@ FROM d LEFT JOIN hit_words USING (row_no) LEFT JOIN items USING (row_no)
 """
 
 
+# op13 by brute force: every kept term in every group, every ordered pair of sources.
+_DIVERGENCE = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents
+), occ AS (
+    SELECT lang, source, row_no, unnest(t) AS term FROM d
+), kept AS (
+    SELECT lang, term FROM occ GROUP BY lang, term HAVING count(DISTINCT row_no) >= 3
+), v AS (
+    SELECT lang, count(*) AS V FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM d
+), gc AS (
+    SELECT lang, source, term, count(*) AS c FROM occ JOIN kept USING (lang, term) GROUP BY ALL
+), grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(gc.c, 0) AS c
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN gc USING (lang, source, term)
+), gp AS (
+    SELECT lang, source, term, c,
+           (1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang, source) + V))::BIGINT AS p
+    FROM grid JOIN v USING (lang)
+), lp AS (
+    SELECT lang, term, (1 + (1000000000::HUGEINT * (lc + 1)) // (sum(lc) OVER (PARTITION BY lang) + V))::BIGINT AS q
+    FROM (SELECT lang, term, sum(c) AS lc FROM grid GROUP BY lang, term) JOIN v USING (lang)
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+    FROM gp JOIN lp USING (lang, term) WHERE c > 0 AND p > q
+), sums AS (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM gp x JOIN gp y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+    FROM (SELECT * FROM terms UNION ALL SELECT * FROM pairs)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 ORACLE = {
+    "op13_source_divergence": _DIVERGENCE,
     "op12_benchmark_decontamination": _LEAKS,
     "op11_equal_average_codes": _CODES,
     "op3_exact_dedup": _EXACT, "op4_curriculum_mix": _MIX, "op5_rule_ledger": _QUALITY, "op6_hash_tree_shards": _SHARDS}

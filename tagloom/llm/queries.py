@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import documents
 from tagloom.llm.decontamination import contamination_report
+from tagloom.llm.divergence import divergence
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.id_files import id_files
 from tagloom.llm.languages import identify
@@ -102,3 +103,10 @@ def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES[op12_benchmark_decontamination.__name__] = op12_benchmark_decontamination
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(documents(spark, sf_dir), min_docs=3, top=200)
+
+
+QUERIES[op13_source_divergence.__name__] = op13_source_divergence

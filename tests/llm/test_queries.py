@@ -16,7 +16,7 @@ def test_query(spark, small, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 13)} <= {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
