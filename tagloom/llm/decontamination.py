@@ -60,19 +60,64 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def _table(rows: list) -> tuple[dict, dict, dict]:
-    """Word ids, hashes by window length, and item ids by window (as a tuple of word ids)."""
-    vocab: dict[str, int] = {}
+# Bytes that are part of words once A-Z is lowered: digits, a-z and every byte of a non-ASCII character.
+_IN_WORD = np.zeros(256, dtype=bool)
+_IN_WORD[0x30:0x3A] = _IN_WORD[0x61:0x7B] = _IN_WORD[0x80:] = True
+_CHUNK_BYTES = 1 << 20
+
+
+def _powers(n: int) -> np.ndarray:
+    """Odd multipliers for the bytes of a word, by place in it."""
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(max(n, 1), 0x100000001B3, dtype=np.uint64)) | np.uint64(1)
+
+
+def _word_places(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lowered bytes, which of them are in words, and [first, end) byte of every word; words end where a text does."""
+    lowered = data + np.where((data >= 0x41) & (data <= 0x5A), 32, 0).astype(np.uint8)
+    inside = _IN_WORD[lowered]
+    opens = np.zeros(len(data) + 1, dtype=bool)
+    opens[starts] = True
+    opens[0] = opens[len(data)] = True
+    before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
+    after = np.concatenate([inside[1:], [False]]) if len(data) else inside
+    first = np.flatnonzero(inside & (~before | opens[:-1]))
+    end = np.flatnonzero(inside & (~after | opens[1:])) + 1
+    return lowered, inside, first, end
+
+
+def _word_hashes(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, given the bytes of all words one after the other (equal words, equal hashes)."""
+    if len(lengths) == 0:
+        return np.zeros(0, dtype=np.uint64)
+    at = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+    place = np.arange(len(values)) - np.repeat(at, lengths)
+    with np.errstate(over="ignore"):
+        h = np.add.reduceat(values.astype(np.uint64) * _powers(int(lengths.max()))[place], at)
+        return h ^ (lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _table(rows: list) -> tuple[np.ndarray, np.ndarray, dict, dict]:
+    """Sorted word hashes with their ids, window hashes by length, item ids by window (a tuple of words)."""
     items: dict[tuple, set] = {}
     for r in rows:
-        key = tuple(vocab.setdefault(w, len(vocab)) for w in r.words)
-        items.setdefault(key, set())
+        of = items.setdefault(tuple(r.words), set())
         if r.item_id is not None:
-            items[key].add(r.item_id)
-    hashes: dict[int, list] = {}
+            of.add(r.item_id)
+    words = sorted({w for key in items for w in key})
+    data = np.frombuffer("".join(words).encode(), dtype=np.uint8)
+    sizes = np.array([len(w.encode()) for w in words], dtype=np.int64)
+    hashes = _word_hashes(data, sizes)
+    order = np.argsort(hashes, kind="stable")
+    sorted_hashes = hashes[order]
+    # Words of equal hash share an id; verification tells them apart.
+    ids_sorted = np.searchsorted(sorted_hashes, sorted_hashes).astype(np.int64)
+    id_of = dict(zip(words, ids_sorted[np.argsort(order)].tolist()))
+    windows: dict[int, list] = {}
     for key in items:
-        hashes.setdefault(len(key), []).append(_hash(np.array(key, dtype=np.int64), len(key))[0])
-    return vocab, {n: np.unique(np.array(h, dtype=np.uint64)) for n, h in hashes.items()}, items
+        ids = np.array([id_of[w] for w in key], dtype=np.int64)
+        windows.setdefault(len(key), []).append(_hash(ids, len(key))[0])
+    return sorted_hashes, ids_sorted, {n: np.unique(np.array(h, dtype=np.uint64)) for n, h in windows.items()}, items
 
 
 def _hash(ids: np.ndarray, length: int) -> np.ndarray:
@@ -87,32 +132,67 @@ def _hash(ids: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def scan(text: str | None, vocab: dict, hashes: dict, items: dict) -> tuple[int, list, set]:
-    """Number of words, merged hit spans [start, end) by word, and item ids found in one text."""
-    words = words_of(text)
-    ids = np.array([vocab.get(w, -1) for w in words], dtype=np.int64)
-    hit = np.zeros(len(words) + 1, dtype=np.int32)
-    found: set = set()
+def scan_texts(texts: list, table: tuple) -> list[tuple[int, list, set]]:
+    """Per text: number of words, merged hit spans [start, end) by word, and item ids found.
+
+    All texts of a chunk go through NumPy together: bytes are classed and
+    lowered, words hashed, looked up among the benchmark's words, and windows
+    of ids hashed and looked up among the benchmark's windows. Each hit is then
+    verified on the words themselves.
+    """
+    vocab, vocab_ids, windows, items = table
+    encoded = [(t or "").encode() for t in texts]
+    sizes = np.array([len(e) for e in encoded], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    data = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+    lowered, inside, first, end = _word_places(data, starts)
+    doc = np.searchsorted(starts, first, side="right") - 1
+    counts = np.bincount(doc, minlength=len(texts))
+    h = _word_hashes(lowered[inside], end - first)
+    at = np.minimum(np.searchsorted(vocab, h), max(len(vocab) - 1, 0))
+    known = (vocab[at] == h) if len(vocab) else np.zeros(len(h), dtype=bool)
+    ids = np.where(known, vocab_ids[at] if len(vocab) else 0, -1)
     unknown = np.concatenate([[0], np.cumsum(ids < 0)])
-    for length, table in hashes.items():
+    hit = np.zeros(len(ids) + 1, dtype=np.int32)
+    found: dict[int, set] = {}
+    for length, table_hashes in windows.items():
         if len(ids) < length:
             continue
-        starts = np.nonzero(np.isin(_hash(np.maximum(ids, 0), length), table))[0]
-        for i in starts[unknown[starts + length] == unknown[starts]].tolist():
-            of = items.get(tuple(ids[i : i + length].tolist()))
+        places = np.flatnonzero(np.isin(_hash(np.maximum(ids, 0), length), table_hashes))
+        places = places[(unknown[places + length] == unknown[places]) & (doc[places] == doc[places + length - 1])]
+        for i in places.tolist():
+            key = tuple(lowered[first[j] : end[j]].tobytes().decode() for j in range(i, i + length))
+            of = items.get(key)
             if of is not None:  # verified on the words themselves
                 hit[i] += 1
                 hit[i + length] -= 1
-                found |= of
+                found.setdefault(int(doc[i]), set()).update(of)
     covered = np.cumsum(hit)[:-1] > 0
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-    return len(words), edges.reshape(-1, 2).tolist(), found
+    n_hit = np.bincount(doc[covered], minlength=len(texts)) if len(doc) else np.zeros(len(texts), dtype=np.int64)
+    base = np.concatenate([[0], np.cumsum(counts)])
+    out = []
+    for d in range(len(texts)):
+        spans = []
+        if n_hit[d]:
+            mine = covered[base[d] : base[d + 1]].astype(np.int8)
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], mine, [0]])))
+            spans = edges.reshape(-1, 2).tolist()
+        out.append((int(counts[d]), spans, found.get(d, set())))
+    return out
 
 
-def _scanner(vocab: dict, hashes: dict, items: dict):
+def _scanner(table: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [scan(t, vocab, hashes, items) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            out, chunk, size = [], [], 0
+            for t in texts:
+                chunk.append(t)
+                size += len(t or "")
+                if size >= _CHUNK_BYTES:
+                    out += scan_texts(chunk, table)
+                    chunk, size = [], 0
+            out += scan_texts(chunk, table) if chunk else []
             yield pa.RecordBatch.from_pydict(
                 {
                     "_row": batch.column("_row"),
@@ -171,7 +251,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     found = []
     for b in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).select("item_id", "words")
-        found.append(texts.mapInArrow(_scanner(*_table(part.collect())), schema))
+        found.append(texts.mapInArrow(_scanner(_table(part.collect())), schema))
     hits = found[0]
     if blocks > 1:
         for more in found[1:]:
