@@ -30,15 +30,19 @@ from tagloom.operators.status import release_batch, set_status, upsert_batches
 from tagloom.operators.units import distinct_units, keyed_units, lemmatise, units, with_words
 from tagloom.operators.unpack import unpack_hashtags, unpack_tweets
 from tagloom.plans.hashtag_network import hashtag_network, rebuild_network
-from tagloom.plans.ingest import split_ingest, write_ingest
+from tagloom.plans.ingest import split_ingest, stored_ids, write_ingest
 from tagloom.plans.word_pairs import unit_pairs, word_pairs
 from tagloom.sources.tables import (
+    batch_states,
     batch_text,
     new_batches,
     read_cooccurrence,
     read_ingested,
+    release_stored_batch,
     reset_tables,
+    set_stored_status,
     table_exists,
+    visible_loads,
 )
 from tagloom.sources.tweets import broken_files, read_tweets, stream_tweets
 from tagloom.streaming.jobs import (

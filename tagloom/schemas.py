@@ -92,6 +92,16 @@ BATCHES = T.StructType(
 # Batches as ingest writes them; a batch's rows are those of its last load.
 LOADED = T.StructType([*BATCHES.fields, T.StructField("load", T.LongType())])
 
+# Changes of status of stored batches, appended; the largest seq of a (batch, load) holds.
+STATUS_LOG = T.StructType(
+    [
+        T.StructField("batch_name", T.StringType()),
+        T.StructField("load", T.LongType()),
+        T.StructField("batch_status", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
 COOCCURRENCE = T.StructType(
     [
         T.StructField("hashtag1", T.StringType()),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.schemas import ALL_BATCHES, COOCCURRENCE, LOADED, TABLES
+from tagloom.schemas import ALL_BATCHES, COOCCURRENCE, LOADED, RELEASED, STATUS_LOG, TABLES
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -93,13 +93,86 @@ def live_loads(spark: SparkSession, out: str) -> DataFrame:
     return rows.groupBy("batch_name").agg(F.max("load").alias("load"))
 
 
+def batch_states(spark: SparkSession, out: str) -> DataFrame:
+    """batch_name, load, batch_status, released, live: every load that registered a batch below ``out``.
+
+    A load registers its batches as NEW; the status log (``status``, written by
+    :func:`set_stored_status`) holds later changes, of which the one with the
+    largest ``seq`` counts. A load is released once it has been SUCCESS, whatever
+    came after, as posts that were given back keep their name ``NONE``. ``live``
+    marks the last load of each batch. One row per registered batch and load, so
+    the table grows with the loads, not with the posts.
+    """
+    registered = read_if_exists(spark, f"{out}/batches", LOADED).select("batch_name", "load").distinct()
+    log = read_if_exists(spark, f"{out}/status", STATUS_LOG)
+    latest = log.groupBy("batch_name", "load").agg(
+        F.max_by("batch_status", "seq").alias("_status"),
+        F.max(F.col("batch_status") == "SUCCESS").alias("_released"),
+    )
+    last = registered.groupBy("batch_name").agg(F.max("load").alias("_last"))
+    return (
+        registered.join(latest, ["batch_name", "load"], "left")
+        .join(last, "batch_name")
+        .select(
+            "batch_name",
+            "load",
+            F.coalesce("_status", F.lit("NEW")).alias("batch_status"),
+            F.coalesce("_released", F.lit(False)).alias("released"),
+            (F.col("load") == F.col("_last")).alias("live"),
+        )
+    )
+
+
+def visible_loads(spark: SparkSession, out: str) -> DataFrame:
+    """batch_name, load, released, shown: loads whose rows are read, and the batch name they show.
+
+    These are the last load of every batch and all released loads; released
+    rows show ``NONE``.
+    """
+    states = batch_states(spark, out).where(F.col("live") | F.col("released"))
+    shown = F.when(F.col("released"), F.lit(RELEASED)).otherwise(F.col("batch_name"))
+    return states.select("batch_name", "load", "released", shown.alias("shown"))
+
+
+def set_stored_status(spark: SparkSession, out: str, name: str, status: str) -> bool:
+    """Set the status of a stored batch (its last load); ``SUCCESS`` also releases its posts.
+
+    The change is appended to the status log below ``out``; no table of posts is
+    rewritten, so it costs the same for a batch of any size. Released posts show
+    the batch name ``NONE`` from then on, also after the batch is loaded again.
+    An unknown name changes nothing and gives False. One writer at a time.
+    """
+    from tagloom.schemas import STATUSES
+
+    if status not in STATUSES:
+        raise ValueError(f"unknown status {status!r}")
+    live = live_loads(spark, out).where(F.col("batch_name") == name).first()
+    if live is None:
+        return False
+    log = read_if_exists(spark, f"{out}/status", STATUS_LOG)
+    seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
+    change = spark.createDataFrame([(name, live.load, status, seq)], STATUS_LOG)
+    change.coalesce(1).write.mode("append").parquet(f"{out}/status")
+    return True
+
+
+def release_stored_batch(spark: SparkSession, out: str, name: str) -> bool:
+    """Give back the posts of a stored batch: it is set to SUCCESS (see :func:`set_stored_status`)."""
+    return set_stored_status(spark, out, name, "SUCCESS")
+
+
 def read_ingested(spark: SparkSession, out: str, table: str, loads: DataFrame | None = None) -> DataFrame:
-    """A table written by ``write_ingest``: of each batch the rows of its live load.
+    """A table written by ``write_ingest``.
 
-    ``loads`` (of :func:`live_loads`) may leave out batches. ``batches`` is read
-    with the status of each batch.
+    ``batches``: a row per batch with its latest status. Other tables: the rows
+    of each batch's last load, and of every released load with the batch name
+    ``NONE``. ``loads`` (batch_name, load, shown, as :func:`visible_loads`) may
+    leave loads out. Loads to read are a small table that Spark joins to the
+    rows by (batch_name, load).
     """
-    path = f"{out}/{table}"
-    rows = read_if_exists(spark, path, LOADED) if table == "batches" else spark.read.parquet(path)
-    loads = live_loads(spark, out) if loads is None else loads
-    return rows.join(loads, ["batch_name", "load"]).select(*(c for c in rows.columns if c != "load"))
+    if table == "batches":
+        return batch_states(spark, out).where("live").select("batch_name", "batch_status")
+    rows = spark.read.parquet(f"{out}/{table}")
+    loads = visible_loads(spark, out) if loads is None else loads
+    columns = [F.col("shown").alias(c) if c == "batch_name" else c for c in rows.columns if c != "load"]
+    return rows.join(loads.select("batch_name", "load", "shown"), ["batch_name", "load"]).select(*columns)

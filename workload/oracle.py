@@ -246,6 +246,12 @@ WITH {POST_TAGS} SELECT tweet_id, hashtag, batch_name FROM post_tags WHERE has_a
 WITH {TURNS}
 SELECT tweet_id, text, 'batch_name=' || CASE WHEN tweet_id % 2 = 0 THEN 'first' ELSE 'second' END AS batch_name
 FROM turns""",
+    "stored_batch_cycle": f"""
+WITH {TURNS}
+SELECT tweet_id, text, CASE WHEN tweet_id % 2 = 0 THEN 'NONE' ELSE 'batch_name=second' END AS batch_name FROM turns""",
+    "stored_batch_states": """
+SELECT * FROM (VALUES ('batch_name=first', 'NEW'), ('batch_name=second', 'FAILED')) AS t(batch_name, batch_status)""",
+    "stored_cycle_pairs": _turn_pairs("tweet_id % 2 = 0"),
     "ingested_batches": """
 SELECT 'batch_name=' || unnest(['first', 'second']) AS batch_name, 'NEW' AS batch_status""",
     "next_fit_batches": NEXT_FIT,

@@ -203,6 +203,47 @@ def ingest_twice(spark, sf):
     return tl.read_ingested(spark, out, "tweets").select("tweet_id", "text", "batch_name")
 
 
+def _stored_cycle(spark, sf):
+    """Even turns as batch ``first``, odd ones as ``second``, taken through their statuses in stored tables.
+
+    Both are loaded and found NEW (S5); ``first`` is taken up, its word pairs are
+    counted from the stored posts (P4) and written, and it succeeds, which gives
+    its posts back (M5, M6); ``second`` is taken up and fails. Then ``first`` is
+    loaded again: its posts were given back, so all of them are repeated ids.
+    """
+    out = fresh_dir(spark, "cycle")
+    posts = i.conversation_posts(spark, sf, repeats=False)
+    first = posts.where("tweet_id % 2 = 0").withColumn("batch_name", F.lit("first"))
+    second = posts.where("tweet_id % 2 = 1").withColumn("batch_name", F.lit("second"))
+    tl.write_ingest(tl.read_tweets(spark, i.post_files(first.unionByName(second), 500)), out)
+    waiting = tl.new_batches(tl.read_ingested(spark, out, "batches"))
+    for name in sorted(r.batch_name for r in waiting.collect()):  # a row per batch
+        tl.set_stored_status(spark, out, name, "PROCESSING")
+        if name.endswith("first"):
+            stored = tl.read_ingested(spark, out, "tweets")
+            tl.word_pairs(stored, batch=name).write.mode("overwrite").parquet(f"{out}/pairs/{name}")
+            tl.set_stored_status(spark, out, name, "SUCCESS")
+        else:
+            tl.set_stored_status(spark, out, name, "FAILED")
+    tl.write_ingest(tl.read_tweets(spark, i.post_files(first, 500)), out)
+    return out
+
+
+@query
+def stored_batch_cycle(spark, sf):
+    return tl.read_ingested(spark, _stored_cycle(spark, sf), "tweets").select("tweet_id", "text", "batch_name")
+
+
+@query
+def stored_batch_states(spark, sf):
+    return tl.read_ingested(spark, _stored_cycle(spark, sf), "batches")
+
+
+@query
+def stored_cycle_pairs(spark, sf):
+    return spark.read.parquet(f"{_stored_cycle(spark, sf)}/pairs/batch_name=first")
+
+
 @query
 def ingested_batches(spark, sf):
     return tl.read_ingested(spark, _ingested_twice(spark, sf), "batches")
