@@ -18,7 +18,7 @@ from tagloom.operators.hashtags import (
     multi_hashtag,
     set_pairs,
 )
-from tagloom.operators.merge import merge_add, total
+from tagloom.operators.merge import merge_add, merge_add_stored, read_totals, total
 from tagloom.operators.network import network_edges, network_vertices
 from tagloom.operators.pairs import (
     count_pairs,

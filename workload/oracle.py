@@ -310,6 +310,11 @@ UNION SELECT hashtag2, 'HT' FROM edges""",
     "merge_add_one_edge": f"""
 WITH {EDGES}
 SELECT hashtag1, hashtag2, CAST(sum(weight) AS BIGINT) AS weight
+FROM (SELECT * FROM edges UNION ALL SELECT 'brand#1', 'brand#2', 5) GROUP BY ALL""",
+    "stored_merge_pairs": _turn_pairs(),
+    "stored_merge_edges": f"""
+WITH {EDGES}
+SELECT hashtag1, hashtag2, CAST(sum(weight) AS BIGINT) AS weight
 FROM (SELECT * FROM edges UNION ALL SELECT 'brand#1', 'brand#2', 5) GROUP BY ALL""",
     "stream_pairs": _turn_pairs(),
     "stream_pairs_literal": RECORD_PAIRS + _LITERAL_UNITS + LITERAL_COUNT,

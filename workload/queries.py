@@ -412,6 +412,28 @@ def merge_add_one_edge(spark, sf):
     return tl.merge_add(cooccurrence(spark, sf), edge, EDGE_KEYS, "weight")
 
 
+@query
+def stored_merge_pairs(spark, sf):
+    """Word pairs of even turns stored by bucket, those of odd turns added to them."""
+    turns = i.conversations(spark, sf)
+    path = fresh_dir(spark, "pair-totals")
+    for half in ("tweet_id % 2 = 0", "tweet_id % 2 = 1"):
+        tl.merge_add_stored(spark, path, tl.word_pairs(turns.where(half)), PAIR_KEYS, "word_count")
+    return tl.read_totals(spark, path)
+
+
+@query
+def stored_merge_edges(spark, sf):
+    """Co-occurrence of even posts stored by bucket, that of odd posts added, then one edge."""
+    tags = i.hashtags(spark, sf)
+    path = fresh_dir(spark, "edge-totals")
+    for half in ("tweet_id % 2 = 0", "tweet_id % 2 = 1"):
+        tl.merge_add_stored(spark, path, tl.cooccurrence(tags.where(half)), EDGE_KEYS, "weight")
+    edge = spark.sql("SELECT 'brand#1' AS hashtag1, 'brand#2' AS hashtag2, 5L AS weight")
+    tl.merge_add_stored(spark, path, edge, EDGE_KEYS, "weight")
+    return tl.read_totals(spark, path)
+
+
 # --- streams ----------------------------------------------------------------
 
 
