@@ -46,7 +46,9 @@ def _winners(rows: DataFrame, digests: DataFrame) -> DataFrame:
         .where((F.col("count") > 1) & (F.col("count") > count // HOT_SHARE))
         .select("key", F.lit(True).alias("hot"))
     )
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", F.rand(7)), F.lit(SALTS))).otherwise(0)
+    # By the id alone, so that a task run again puts every row into the same salt; rows that share an
+    # id are combined within their map task before the shuffle.
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
     salted = (
         rows.join(F.broadcast(hot), "key", "left")
         .withColumn("salt", salt)
