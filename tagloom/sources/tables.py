@@ -161,7 +161,9 @@ def release_stored_batch(spark: SparkSession, out: str, name: str) -> bool:
     return set_stored_status(spark, out, name, "SUCCESS")
 
 
-def read_ingested(spark: SparkSession, out: str, table: str, loads: DataFrame | None = None) -> DataFrame:
+def read_ingested(
+    spark: SparkSession, out: str, table: str, loads: DataFrame | None = None, batch: str | None = None
+) -> DataFrame:
     """A table written by ``write_ingest``.
 
     ``batches``: a row per batch with its latest status. Other tables: the rows
@@ -169,10 +171,22 @@ def read_ingested(spark: SparkSession, out: str, table: str, loads: DataFrame |
     ``NONE``. ``loads`` (batch_name, load, shown, as :func:`visible_loads`) may
     leave loads out. Loads to read are a small table that Spark joins to the
     rows by (batch_name, load).
+
+    ``batch`` keeps the rows that show that name (``"None"``: all). Its loads are
+    looked up first, a few rows of the register, so that the scan reads their
+    ``load=`` folders only and pushes the stored names down to Parquet.
     """
     if table == "batches":
-        return batch_states(spark, out).where("live").select("batch_name", "batch_status")
+        states = batch_states(spark, out).where("live").select("batch_name", "batch_status")
+        return states if batch is None or batch == ALL_BATCHES else states.where(F.col("batch_name") == batch)
     rows = spark.read.parquet(f"{out}/{table}")
     loads = visible_loads(spark, out) if loads is None else loads
+    if batch is not None and batch != ALL_BATCHES:
+        wanted = loads.where(F.col("shown") == batch).select("batch_name", "load", "shown").collect()
+        loads = spark.createDataFrame(wanted, "batch_name string, load long, shown string")
+        rows = rows.where(
+            F.col("load").isin(sorted({r.load for r in wanted})) & F.col("batch_name").isin(sorted({r.batch_name for r in wanted}))
+        )
+        loads = F.broadcast(loads)  # the loads of one name
     columns = [F.col("shown").alias(c) if c == "batch_name" else c for c in rows.columns if c != "load"]
     return rows.join(loads.select("batch_name", "load", "shown"), ["batch_name", "load"]).select(*columns)

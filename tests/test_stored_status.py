@@ -1,6 +1,7 @@
 """Status and release of batches in stored tables, and the id filter of later loads."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +66,21 @@ def test_later_loads_read_only_the_range_of_their_ids(spark, tmp_path, rows):
     tl.write_ingest(tl.read_tweets(spark, str(tmp_path / "more")), out)
     found = tl.read_ingested(spark, out, "tweets").where("batch_name = 'new'").select("tweet_id")
     assert rows(found) == [(450,)]
+
+
+def test_one_batch_reads_its_own_load(spark, tmp_path, rows):
+    out, posts = str(tmp_path / "out"), tmp_path / "in"
+    write(posts, "b1", [1, 2])
+    write(posts, "b2", [10, 11])
+    tl.write_ingest(tl.read_tweets(spark, str(posts)), out)
+    write(tmp_path / "later", "b2", [12])
+    tl.write_ingest(tl.read_tweets(spark, str(tmp_path / "later")), out)
+    tl.release_stored_batch(spark, out, "b1")
+    for name, load, expected in (("b2", 1, [(12, "b2")]), ("NONE", 0, [(1, "NONE"), (2, "NONE")])):
+        found = tl.read_ingested(spark, out, "tweets", batch=name)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+        assert any(re.search(rf"load#\d+L? IN \({load}\)|\(load#\d+L? = {load}\)", s) for s in scans), scans
+        assert rows(found.select("tweet_id", "batch_name")) == expected
+    assert rows(tl.read_ingested(spark, out, "batches", batch="b2")) == [("b2", "NEW")]
+    assert tl.read_ingested(spark, out, "tweets", batch="unknown").count() == 0

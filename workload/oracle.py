@@ -252,6 +252,7 @@ SELECT tweet_id, text, CASE WHEN tweet_id % 2 = 0 THEN 'NONE' ELSE 'batch_name=s
     "stored_batch_states": """
 SELECT * FROM (VALUES ('batch_name=first', 'NEW'), ('batch_name=second', 'FAILED')) AS t(batch_name, batch_status)""",
     "stored_cycle_pairs": _turn_pairs("tweet_id % 2 = 0"),
+    "ingested_batch_text": f"WITH {TURNS} SELECT tweet_id, text FROM turns WHERE tweet_id % 2 = 0",
     "ingested_batches": """
 SELECT 'batch_name=' || unnest(['first', 'second']) AS batch_name, 'NEW' AS batch_status""",
     "next_fit_batches": NEXT_FIT,

@@ -244,6 +244,13 @@ def stored_cycle_pairs(spark, sf):
     return spark.read.parquet(f"{_stored_cycle(spark, sf)}/pairs/batch_name=first")
 
 
+@query
+def ingested_batch_text(spark, sf):
+    """S3 over stored tables: the texts of one batch, read from its own load only."""
+    out = _ingested_twice(spark, sf)
+    return tl.batch_text(tl.read_ingested(spark, out, "tweets", batch="batch_name=first"), "batch_name=first")
+
+
 @query
 def ingested_batches(spark, sf):
     return tl.read_ingested(spark, _ingested_twice(spark, sf), "batches")
