@@ -41,6 +41,7 @@ SPREAD = 64
 
 # Fixed values of the contract: terms are runs of ASCII letters and all non-ASCII; A-Z lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,7 +50,9 @@ def _text(name: str) -> Column:
 
 
 def terms(text: str = "text") -> Column:
-    return F.regexp_extract_all(F.translate(_text(text), UPPER, LOWER), F.lit(TERM), 0)
+    """Terms of a text: runs between characters outside the term class (A-Z lowered first)."""
+    parts = F.split(F.translate(_text(text), UPPER, LOWER), NOT_TERM)
+    return F.filter(parts, lambda t: t != "")
 
 
 def share(count: str, total: str, kept: str) -> Column:
@@ -63,18 +66,21 @@ def gap(p: str, q: str) -> Column:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, count, docs: occurrences and documents of each term per group (nulls as '')."""
-    rows = docs.select(
-        _text("lang").alias("lang"),
-        _text("source").alias("source"),
-        F.monotonically_increasing_id().alias("_row"),
-        terms().alias("_terms"),
+    """lang, source, term, count, docs: occurrences and documents of each term per group (nulls as '').
+
+    One pass: each document gives its terms (an occurrence each) and its
+    distinct terms (a document each) in one array, so that a single grouping by
+    (lang, source, term), combined within each task before the shuffle, counts
+    both. Nothing is keyed by document.
+    """
+    rows = docs.select(_text("lang").alias("lang"), _text("source").alias("source"), terms().alias("_t"))
+    marked = F.concat(
+        F.transform("_t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("o"), F.lit(0).alias("d"))),
+        F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("o"), F.lit(1).alias("d"))),
     )
-    per_doc = rows.select("lang", "source", "_row", F.explode("_terms").alias("term")).groupBy(
-        "lang", "source", "_row", "term"
-    ).count()
-    return per_doc.groupBy("lang", "source", "term").agg(
-        F.sum("count").alias("count"), F.count(F.lit(1)).alias("docs")
+    each = rows.select("lang", "source", F.explode(marked).alias("_m"))
+    return each.groupBy("lang", "source", F.col("_m.term").alias("term")).agg(
+        F.sum("_m.o").cast("long").alias("count"), F.sum("_m.d").cast("long").alias("docs")
     )
 
 
