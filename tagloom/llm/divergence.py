@@ -68,19 +68,16 @@ def gap(p: str, q: str) -> Column:
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, count, docs: occurrences and documents of each term per group (nulls as '').
 
-    One pass: each document gives its terms (an occurrence each) and its
-    distinct terms (a document each) in one array, so that a single grouping by
-    (lang, source, term), combined within each task before the shuffle, counts
-    both. Nothing is keyed by document.
+    One pass: a document's terms are sorted, and a term that differs from the
+    one before it in that order is the document's first of it. So a single
+    grouping by (lang, source, term), combined within each task before the
+    shuffle, counts both occurrences and documents. Nothing is keyed by document.
     """
-    rows = docs.select(_text("lang").alias("lang"), _text("source").alias("source"), terms().alias("_t"))
-    marked = F.concat(
-        F.transform("_t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("o"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("o"), F.lit(1).alias("d"))),
-    )
-    each = rows.select("lang", "source", F.explode(marked).alias("_m"))
-    return each.groupBy("lang", "source", F.col("_m.term").alias("term")).agg(
-        F.sum("_m.o").cast("long").alias("count"), F.sum("_m.d").cast("long").alias("docs")
+    rows = docs.select(_text("lang").alias("lang"), _text("source").alias("source"), F.array_sort(terms()).alias("_t"))
+    each = rows.select("lang", "source", "_t", F.posexplode("_t").alias("_p", "term"))
+    first = F.when(F.col("_p") == 0, True).otherwise(F.try_element_at("_t", F.col("_p")) != F.col("term"))
+    return each.groupBy("lang", "source", "term").agg(
+        F.count(F.lit(1)).alias("count"), F.sum(first.cast("long")).alias("docs")
     )
 
 
