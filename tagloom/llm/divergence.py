@@ -21,16 +21,22 @@ the terms that one or both sources have:
   Each node meets each of its ancestors once and adds, times the number of
   terms through the node, what both counts being nonzero changes for that pair.
 
-Spark does all of it with aggregations and joins: the tree's nodes are the
-distinct prefixes of term rows, counted by a grouping.
+Tasks count terms in Python (regular expressions and a dictionary per task,
+emitted in bounded pieces); Spark does the rest with aggregations and joins:
+the tree's nodes are the distinct prefixes of term rows, counted by a grouping.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import staged
+from tagloom.llm.common import lean_batches, staged
 
 MIN_DOCS = 3
 SCALE = 1_000_000_000
@@ -38,10 +44,10 @@ TOP_TERMS = 200
 # Groups (language, source) up to this many rows are broadcast where they meet each other.
 BROADCAST_GROUPS = 200_000
 SPREAD = 64
+FLUSH_KEYS = 1 << 20
 
 # Fixed values of the contract: terms are runs of ASCII letters and all non-ASCII; A-Z lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,12 +55,6 @@ def _text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def terms(text: str = "text") -> Column:
-    """Terms of a text: runs between characters outside the term class (A-Z lowered first)."""
-    parts = F.split(F.translate(_text(text), UPPER, LOWER), NOT_TERM)
-    return F.filter(parts, lambda t: t != "")
-
-
 def share(count: str, total: str, kept: str) -> Column:
     """``1 + floor(SCALE * (count + 1) / (total + kept))`` of columns by name, exact beyond 64-bit products."""
     return F.expr(f"CAST((CAST({count} + 1 AS DECIMAL(38,0)) * {SCALE}) div ({total} + {kept}) + 1 AS BIGINT)")
@@ -65,20 +65,52 @@ def gap(p: str, q: str) -> Column:
     return F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div ({q})")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: occurrences and documents of each (lang, source, term), emitted every ``FLUSH_KEYS`` keys."""
+    pattern, lower = re.compile(TERM), str.maketrans(UPPER, LOWER)
+    count: dict = {}
+    docs: dict = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if count:
+            keys = list(count)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([k[0] for k in keys], pa.string()),
+                    "source": pa.array([k[1] for k in keys], pa.string()),
+                    "term": pa.array([k[2] for k in keys], pa.string()),
+                    "count": pa.array([count[k] for k in keys], pa.int64()),
+                    "docs": pa.array([docs[k] for k in keys], pa.int64()),
+                }
+            )
+            count.clear()
+            docs.clear()
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("lang", "source", "text")]
+        for lang, source, text in zip(*columns):
+            lang, source = lang or "", source or ""
+            for term, n in Counter(pattern.findall(text.translate(lower)) if text else ()).items():
+                key = (lang, source, term)
+                count[key] = count.get(key, 0) + n
+                docs[key] = docs.get(key, 0) + 1
+        if len(count) >= FLUSH_KEYS:
+            yield from flush()
+    yield from flush()
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, count, docs: occurrences and documents of each term per group (nulls as '').
 
-    One pass: a document's terms are sorted, and a term that differs from the
-    one before it in that order is the document's first of it. So a single
-    grouping by (lang, source, term), combined within each task before the
-    shuffle, counts both occurrences and documents. Nothing is keyed by document.
+    Each task counts its documents' terms in Python (a dictionary by lang,
+    source and term, emptied every ``FLUSH_KEYS`` keys so that its memory is
+    bounded), and Spark sums these counts by (lang, source, term), combined
+    before the shuffle. Nothing is keyed by document.
     """
-    rows = docs.select(_text("lang").alias("lang"), _text("source").alias("source"), F.array_sort(terms()).alias("_t"))
-    each = rows.select("lang", "source", "_t", F.posexplode("_t").alias("_p", "term"))
-    first = F.when(F.col("_p") == 0, True).otherwise(F.try_element_at("_t", F.col("_p")) != F.col("term"))
-    return each.groupBy("lang", "source", "term").agg(
-        F.count(F.lit(1)).alias("count"), F.sum(first.cast("long")).alias("docs")
-    )
+    lean_batches(docs.sparkSession)
+    schema = "lang string, source string, term string, count long, docs long"
+    counted = docs.select("lang", "source", "text").mapInArrow(_counted, schema)
+    return counted.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
 def _meet(left: DataFrame, right: DataFrame, on: list[str], small: bool) -> DataFrame:
