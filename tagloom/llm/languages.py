@@ -6,8 +6,10 @@ embeddings; a linear softmax over it gives the languages. Both are trained
 together by stochastic gradient descent in numpy, on a sample of the labelled rows,
 of which executors send hashed counts, never texts. It has rows of every language
 that has a label: ``PER_LANGUAGE``, or of very many languages so many fewer that
-they are ``ROWS`` together, but one at least. A fifth of the sample calibrates the
-scores (a temperature) and sets the score below which a prediction is not accepted.
+they are ``ROWS`` together, but one at least. Five-fold cross-validation on the
+sample calibrates the scores (a temperature) and sets the score below which a
+prediction is not accepted, at every sample size alike; the model itself learns
+from the whole sample.
 
 As the classifier is linear in the mean, a bucket needs one number per language
 for predicting. They are whole numbers, so sums do not depend on how texts are
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import hash52, lean_batches, staged
 
 BUCKETS_LOG2 = 15
+FOLDS = 5
 BUCKETS = 1 << BUCKETS_LOG2
 DIMENSIONS = 16
 PER_LANGUAGE = 400
@@ -182,36 +185,53 @@ def _train(rows: pd.DataFrame, languages: list[str], epochs: int = 12, rate: flo
     return embeddings.astype(np.float64) @ output, bias.astype(np.float64)
 
 
+def _model(rows: pd.DataFrame, languages: list[str]) -> Model:
+    table, bias = _train(rows.reset_index(drop=True), languages)
+    return Model(languages, np.round(table * _FIXED).astype(np.int64), bias, 1.0, 0.0)
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int | None = None) -> Model | None:
-    """A model of ``docs`` (doc_id, text, lang), or None if no row has a label to learn from."""
+    """A model of ``docs`` (doc_id, text, lang), or None if no row has a label to learn from.
+
+    The model learns from all sampled rows. Its temperature and rejection
+    threshold come from ``FOLDS``-fold cross-validation on the same rows: each
+    row is scored by a model that did not learn from it, at every sample size
+    alike (a fold without rows to learn from gives a model that knows nothing,
+    whose scores then count against it).
+    """
     rows = sample(docs, per_language, max_languages).toPandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["chance", "lang"], kind="stable", ignore_index=True)
     languages = sorted(rows["lang"].unique())
-    # Of each language at least the first row is learnt from.
-    check = (rows.index % 5 == 4) & (rows.groupby("lang").cumcount() > 0)
-    # With very few rows all are learnt from, and the scores stay as they are.
-    calibrated = len(rows) >= 50 and check.any()
-    learn = rows[~check] if calibrated else rows
-    table, bias = _train(learn, languages)
-    model = Model(languages, np.round(table * _FIXED).astype(np.int64), bias, 1.0, 0.0)
-    tried = rows[check]
-    if calibrated:
+    fold = np.arange(len(rows)) % FOLDS
+    judged = []
+    for k in range(FOLDS):
+        tried = rows[fold == k]
+        if not len(tried):
+            continue
+        model = _model(rows[fold != k], languages)
         times = [np.asarray(t, np.int64) for t in tried["times"]]
         sums = np.array([t @ model.weights[np.asarray(u, np.int64)] for u, t in zip(tried["used"], times, strict=True)])
         counts = np.array([t.sum() for t in times])
-        truth = np.array([languages.index(x) for x in tried["lang"]])
+        judged.append((model, sums.reshape(len(tried), len(languages)), counts, np.array([languages.index(x) for x in tried["lang"]])))
 
-        def loss(temperature: float) -> float:
+    def found(temperature: float) -> list[np.ndarray]:
+        for model, *_ in judged:
             model.temperature = temperature
-            return -np.log(model.probabilities(sums, counts)[np.arange(len(truth)), truth] + 1e-12).mean()
+        return [model.probabilities(sums, counts) for model, sums, counts, _ in judged]
+
+    def loss(temperature: float) -> float:
+        chances = [p[np.arange(len(truth)), truth] for p, (*_, truth) in zip(found(temperature), judged)]
+        return -np.log(np.concatenate(chances) + 1e-12).mean()
 
-        model.temperature = min(np.geomspace(0.05, 20, 60).tolist(), key=loss)
-        found = model.probabilities(sums, counts)
-        right = found.max(axis=1)[found.argmax(axis=1) == truth]
-        model.threshold = float(np.quantile(right, TURNED_DOWN)) if len(right) else 0.0
-    return model
+    final = _model(rows, languages)
+    final.temperature = min(np.geomspace(0.05, 20, 60).tolist(), key=loss)
+    right = np.concatenate(
+        [p.max(axis=1)[p.argmax(axis=1) == truth] for p, (*_, truth) in zip(found(final.temperature), judged)]
+    )
+    final.threshold = float(np.quantile(right, TURNED_DOWN)) if len(right) else 0.0
+    return final
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

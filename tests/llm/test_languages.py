@@ -81,3 +81,13 @@ def test_scores_do_not_depend_on_batches():
     assert np.array_equal(together[0], together[5])
     used, times = subword_counts("one two three")
     assert times.sum() == 19 and len(used) <= 19  # a gram of 3 around each letter, of 4 around each pair
+
+
+def test_small_samples_are_calibrated_too(spark):
+    """Twenty labelled rows get a temperature and a rejection threshold from cross-validation, as large samples do."""
+    docs = labelled(spark, 30)
+    model = fit(docs)
+    assert sample(docs).count() < 50
+    assert model.threshold > 0 and model.temperature != 1.0
+    odd = spark.createDataFrame([(1, "zzqx wvvk jjxq")], "doc_id long, text string")
+    assert not predict(odd, model).first().accepted
