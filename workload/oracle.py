@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from tagloom.functions.text import DIGITS, SPACES, SPECIAL, URL
 from workload.inputs import LEXICON
 
+# Patterns of the cleaning rules, written out here so that the SQL does not lean on the engine's code.
+_SPACE = r"\s\p{Z}\x1c-\x1f\x85"
+URL = rf"http[^{_SPACE}]+|www[^{_SPACE}]+|https[^{_SPACE}]+"
+SPECIAL = rf"[^A-Za-zåäöÅÄÖ{_SPACE}]"
+DIGITS = r"\p{Nd}+"
+SPACES = rf"[{_SPACE}]+"
+
 
 def _replace(text: str, pattern: str, by: str = "") -> str:
     return f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
