@@ -235,6 +235,24 @@ SELECT o_orderkey AS tweet_id,
 FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 = 0""",
     "bad_hashtags": "SELECT doc_id AS tweet_id, 'hashtag does not fit' AS reasons "
     "FROM documents WHERE length(text) > 255",
+    "bad_rows_every_rule": """
+SELECT o_orderkey::VARCHAR AS key, array_to_string(list_filter([
+         CASE WHEN o_orderkey % 17 = 0 AND o_orderkey % 19 <> 0 THEN 'tweet_id missing' END,
+         CASE WHEN o_orderkey % 19 = 0 THEN 'tweet_id does not fit' END,
+         CASE WHEN o_orderkey % 13 = 0 AND o_orderkey % 11 <> 0 THEN 'author_id missing' END,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'author_id does not fit' END,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'conversation_id does not fit' END,
+         CASE WHEN o_orderkey % 5 = 0 THEN 'created_at does not fit' END], lambda x: x IS NOT NULL), ';') AS reasons
+FROM orders
+WHERE o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 11 = 0
+   OR o_orderkey % 7 = 0 OR o_orderkey % 5 = 0""",
+    "bad_hashtags_every_rule": """
+SELECT doc_id AS key, array_to_string(list_filter([
+         CASE WHEN doc_id % 7 = 0 THEN 'tweet_id missing' END,
+         CASE WHEN doc_id % 3 = 0 OR text IS NULL THEN 'hashtag missing' END,
+         CASE WHEN doc_id % 3 <> 0 AND length(text) > 255 THEN 'hashtag does not fit' END], lambda x: x IS NOT NULL), ';')
+         AS reasons
+FROM documents WHERE doc_id % 7 = 0 OR doc_id % 3 = 0 OR text IS NULL OR length(text) > 255""",
     "dup_tweets": DUPLICATES,
     "stored_dup_tweets": f"""
 WITH marked AS ({DUPLICATES})

@@ -144,6 +144,36 @@ def bad_hashtags(spark, sf):
     )
 
 
+@query
+def bad_rows_every_rule(spark, sf):
+    """Orders as posts that break each rule of V2 and V3 in turn, several at once on some."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    post = F.struct(
+        F.when(key % 19 == 0, F.concat(F.lit("k"), key.cast("string"))).when(key % 17 != 0, key.cast("string")).alias("id"),
+        F.when(key % 7 == 0, F.concat(F.lit("c"), customer)).otherwise(customer).alias("conversation_id"),
+        F.when(key % 11 == 0, F.concat(F.lit("x"), customer)).when(key % 13 != 0, customer).alias("author_id"),
+        key.cast("string").alias("text"),
+        F.when(key % 5 == 0, F.lit("not a date")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("created_at"),
+    )
+    posts = i.table(spark, sf, "orders").select(
+        key.alias("tweet_id"), F.lit("orders").alias("batch_name"), F.to_json(post).alias("json")
+    )
+    checked = tl.check_tweets(tl.unpack_tweets(i.raw_posts(posts)))
+    return tl.split_checked(checked)[1].select(F.col("text").alias("key"), F.array_join("reasons", ";").alias("reasons"))
+
+
+@query
+def bad_hashtags_every_rule(spark, sf):
+    """Documents as hashtags without post, without text, or too long."""
+    docs = i.table(spark, sf, "documents")
+    tags = docs.select(
+        F.col("doc_id").alias("key"),
+        F.when(F.col("doc_id") % 7 != 0, F.col("doc_id")).alias("tweet_id"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("hashtag"),
+    )
+    return tl.split_checked(tl.check_hashtags(tags))[1].select("key", F.array_join("reasons", ";").alias("reasons"))
+
+
 _LINE = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
 
