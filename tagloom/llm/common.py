@@ -48,6 +48,16 @@ def with_key(docs: DataFrame, key: Column) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_doc"), key.alias("_key"), F.struct("*").alias("_all"))
 
 
+def once_per_key(keyed: DataFrame) -> DataFrame:
+    """Rows of :func:`with_key`, one per (_doc, _key).
+
+    Whole rows are shuffled to drop repeats only if a count of the keys (an id
+    and a hash a row, combined before the shuffle) finds any.
+    """
+    repeated = keyed.groupBy("_doc", "_key").count().where("count > 1")
+    return keyed if repeated.isEmpty() else keyed.dropDuplicates(["_doc", "_key"])
+
+
 def hash52(*parts: Column | str) -> Column:
     """52 bits of the MD5 of the parts' texts, joined by ``/``; other engines have it too."""
     joined = F.concat_ws("/", *(p if isinstance(p, Column) else F.lit(p) for p in parts))

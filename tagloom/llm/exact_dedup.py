@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SPACE, staged, text_or_empty, with_key
+from tagloom.llm.common import SPACE, once_per_key, staged, text_or_empty, with_key
 
 HOT_SHARE = 10_000
 SALTS = 64
@@ -106,5 +106,5 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     kept = exact_dedup(docs).where("kept")
     stay = kept.select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"))
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha"))
-    keyed = with_key(docs, sha256(normalised()))
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["_doc", "_key"]).select("_all.*")
+    keyed = once_per_key(with_key(docs, sha256(normalised())))
+    return keyed.join(stay, same, "left_semi").select("_all.*")
