@@ -10,6 +10,7 @@ from test_pairs import fold, random_texts
 import tagloom as tl
 from tagloom.operators import literal
 from tagloom.operators.sizes import partitions, stored_bytes
+from workload import inputs
 
 
 def test_no_sort_or_window_has_a_row_per_pair(spark):
@@ -65,3 +66,17 @@ def test_partitions_by_size(spark, tmp_path):
     assert stored_bytes(df.crossJoin(df.withColumnRenamed("text", "t"))) == 2 * stored_bytes(df)
     assert partitions(df, 100_000) == -(-stored_bytes(df) // 100_000) and partitions(df, 1 << 40) == 4  # cores
     assert np.isfinite(stored_bytes(spark.createDataFrame([(1,)], "a int")))
+
+
+def test_pieces_of_a_table_do_not_grow(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(50_000).selectExpr("sha2(CAST(id AS string), 256) AS text").write.parquet(path)
+    monkeypatch.setattr(inputs, "SPREAD_BYTES", 100_000, raising=False)
+    assert inputs.spread(spark.read.parquet(path)).rdd.getNumPartitions() > 10
+
+
+def test_words_with_separators_in_canonical_sums(spark, rows):
+    units = spark.createDataFrame([(["1:a", ":", "12", ":", "1:a"],)], "words array<string>")
+    pairs = tl.endpoint_pairs(units, kmax=3)
+    found = rows(tl.count_pairs(pairs, copies=None, windows=range(2, 4)))
+    assert found == rows(tl.count_pairs(pairs, copies=None)) and (2, "1:a", ":", 2) in found

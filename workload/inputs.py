@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.operators.sizes import partitions
 from tagloom.schemas import POST
 from tagloom.sources.tables import fresh_dir
 
@@ -26,6 +27,9 @@ LEXICON = [
 ]
 
 
+SPREAD_BYTES = 2 << 20  # so that the pairs of a piece fit the memory of a task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,8 +43,8 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table that is one small file, dealt out to all cores."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """Rows of a table dealt out to all cores, in pieces that do not grow with the table."""
+    return df.repartition(partitions(df, SPREAD_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
