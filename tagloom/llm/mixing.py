@@ -136,6 +136,12 @@ def plan_mix(docs: DataFrame) -> DataFrame:
     )
 
 
+def in_training_order(rows: DataFrame, position: str, *ties: str) -> DataFrame:
+    """Rows sorted by their position in ranges; those without one come last."""
+    order = [F.col(c).asc_nulls_last() for c in (position, *ties)]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """The documents in training order, as often as they are taken; columns as they were.
 
@@ -148,5 +154,4 @@ def mix(docs: DataFrame) -> DataFrame:
     )
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
     once = once_per_key(with_key(docs, F.xxhash64("text", "source")))
-    order = ("_position", "_id")
-    return once.join(plan, same).repartitionByRange(*order).sortWithinPartitions(*order).select("_all.*")
+    return in_training_order(once.join(plan, same), "_position", "_id").select("_all.*")

@@ -12,7 +12,7 @@ from tagloom.llm.divergence import divergence
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.id_files import id_files
 from tagloom.llm.languages import identify
-from tagloom.llm.mixing import plan_mix
+from tagloom.llm.mixing import in_training_order, plan_mix
 from tagloom.llm.near_dedup import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.quality import judged
@@ -39,9 +39,9 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mix(documents(spark, sf_dir))
-    return plan.select(
-        "doc_id", "size", "source_size", "target", "taken", F.try_element_at("positions", F.lit(1)).alias("first_position")
-    )
+    placed = plan.withColumn("first_position", F.try_element_at("positions", F.lit(1)))
+    ordered = in_training_order(placed, "first_position", "doc_id", "content")
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
