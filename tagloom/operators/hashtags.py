@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.operators.keys import one_per_key
+from tagloom.operators.sizes import lean_shuffles
 
 
 def fetch_hashtags(
@@ -18,6 +19,7 @@ def fetch_hashtags(
     to_date: str | date | datetime | None = None,
 ) -> DataFrame:
     """Hashtags joined to their posts; dates are inclusive, falsy means no filter."""
+    lean_shuffles(hashtags)
     posts = tweets.select("tweet_id", "author_id", "created_at", "batch_name")
     if batch:
         posts = posts.where(F.col("batch_name") == batch)
@@ -66,9 +68,13 @@ def hashtag_pairs(hashtags: DataFrame) -> DataFrame:
     A join of the distinct (post, hashtag) rows with themselves on the post.
     Nothing is collected: the distinct step combines repeats before its shuffle,
     both sides of the join read the same shuffle, and adaptive execution splits
-    a post that holds a large part of the rows.
+    a post that holds a large part of the rows. The distinct rows are structs, so
+    that where ``hashtags`` come from a join on the post, they are shuffled anew:
+    else that join would run twice, in the task that joins the rows with themselves.
     """
-    tags = hashtags.select("tweet_id", F.lower("hashtag").alias("tag")).distinct()
+    lean_shuffles(hashtags)
+    tags = hashtags.select(F.struct("tweet_id", F.lower("hashtag").alias("tag")).alias("_row"))
+    tags = tags.distinct().select("_row.*")
     # Names are given after the join: with equal sides the shuffle is shared.
     pairs = tags.alias("x").join(tags.alias("y"), "tweet_id").where("x.tag < y.tag")
     return pairs.select(
