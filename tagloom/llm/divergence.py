@@ -52,7 +52,7 @@ def _text(name: str) -> Column:
 def terms(text: str = "text") -> Column:
     """Terms of a text: runs between characters outside the term class (A-Z lowered first)."""
     parts = F.split(F.translate(_text(text), UPPER, LOWER), NOT_TERM)
-    return F.filter(parts, lambda t: t != "")
+    return F.array_remove(parts, "")
 
 
 def share(count: str, total: str, kept: str) -> Column:
@@ -73,7 +73,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
     grouping by (lang, source, term), combined within each task before the
     shuffle, counts both occurrences and documents. Nothing is keyed by document.
     """
-    rows = docs.select(_text("lang").alias("lang"), _text("source").alias("source"), F.array_sort(terms()).alias("_t"))
+    rows = docs.select(_text("lang").alias("lang"), _text("source").alias("source"), F.sort_array(terms()).alias("_t"))
     each = rows.select("lang", "source", "_t", F.posexplode("_t").alias("_p", "term"))
     first = F.when(F.col("_p") == 0, True).otherwise(F.try_element_at("_t", F.col("_p")) != F.col("term"))
     return each.groupBy("lang", "source", "term").agg(
@@ -96,12 +96,19 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     An empty table gives an empty one; very long texts are read whole; other
     columns of ``docs`` are not read.
     """
-    counts = staged(term_counts(docs), "term-counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("_docs"), F.sum("count").alias("lang_count"))
-    kept = staged(kept.where(F.col("_docs") >= min_docs).drop("_docs"), "kept-terms")
-    vocab = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_N"))
-    present = counts.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "count")
-    present = staged(present, "present")
+    # A term's rows of a language, one per source, meet once and carry its sums from then on.
+    term = Window.partitionBy("lang", "term")
+    present = term_counts(docs).select(
+        "lang",
+        "source",
+        "term",
+        "count",
+        F.sum("count").over(term).alias("lang_count"),
+        F.sum("docs").over(term).alias("_docs"),
+        (F.col("source") == F.min("source").over(term)).alias("first"),
+    )
+    present = staged(present.where(F.col("_docs") >= min_docs).drop("_docs"), "present")
+    vocab = present.where("first").groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_N"))
     totals = present.groupBy("lang", "source").agg(F.sum("count").alias("N"), F.count(F.lit(1)).alias("n_terms"))
     groups = (
         docs.select(_text("lang").alias("lang"), _text("source").alias("source"))
@@ -124,15 +131,15 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     )
     small = groups.count() <= BROADCAST_GROUPS
     g = groups.select("lang", "source", "N", "V", "base", "place")
-    return _terms_part(present, g, kept, vocab, top, small).unionByName(_pairs_part(present, g, small))
+    return _terms_part(present, g, vocab, top, small).unionByName(_pairs_part(present, g, small))
 
 
-def _terms_part(present: DataFrame, g: DataFrame, kept: DataFrame, vocab: DataFrame, top: int, small: bool) -> DataFrame:
-    lang_p = kept.join(vocab, "lang").select("lang", "term", share("lang_count", "lang_N", "V").alias("q"))
+def _terms_part(present: DataFrame, g: DataFrame, vocab: DataFrame, top: int, small: bool) -> DataFrame:
+    g = g.join(vocab.select("lang", "lang_N"), "lang")
     rows = _meet(present, g, ["lang", "source"], small).select(
-        "lang", "source", "term", share("count", "N", "V").alias("p")
+        "lang", "source", "term", share("count", "N", "V").alias("p"), share("lang_count", "lang_N", "V").alias("q")
     )
-    rows = rows.join(lang_p, ["lang", "term"]).where(F.col("p") > F.col("q"))
+    rows = rows.where(F.col("p") > F.col("q"))
     rows = rows.select("lang", "source", F.col("term").alias("item"), gap("p", "q").alias("value"))
     # Top terms per group in two steps, so that no task ranks all terms of a large group.
     best = [F.desc("value"), F.col("item").cast("binary")]
