@@ -122,20 +122,27 @@ class Encoder:
         """Ids of words that follow a space."""
         known = self.heads.new
         ids = list(map(known.get, words))
-        parted, odd = [], []
-        for i, found in enumerate(ids):
-            if found is None:
-                w = words[i]
-                if w.isalpha():
-                    parted.append((i, w, ""))
-                elif w[:-1].isalpha() and w[-1] in _MARKS:
-                    parted.append((i, w[:-1], w[-1]))
-                elif f := _LETTERS.match(w):
-                    parted.append((i, f[0], w[f.end() :]))
-                else:
-                    odd.append(i)
-        self._learn_heads(self.heads.lacks([h for _, h, _ in parted]))
-        for (i, head, _), rest in zip(parted, self._other([r for _, _, r in parted]), strict=True):
+        # Letters alone, letters with what follows them (place, letters, rest), and all else.
+        plain, at, heads, rests, odd = [], [], [], [], []
+        for i in [i for i, found in enumerate(ids) if found is None]:
+            w = words[i]
+            if (head := w[:-1]).isalpha() and (mark := w[-1]) in _MARKS:
+                at.append(i)
+                heads.append(head)
+                rests.append(mark)
+            elif w.isalpha():
+                plain.append(i)
+            elif f := _LETTERS.match(w):
+                at.append(i)
+                heads.append(f[0])
+                rests.append(w[f.end() :])
+            else:
+                odd.append(i)
+        alone = [words[i] for i in plain]
+        self._learn_heads(self.heads.lacks(alone + heads))
+        for i, w in zip(plain, alone, strict=True):
+            ids[i] = known[w]
+        for i, head, rest in zip(at, heads, self._other(rests), strict=True):
             ids[i] = known[head] + rest
         for i, found in zip(odd, self._other([f" {words[i]}" for i in odd]), strict=True):
             ids[i] = found

@@ -101,17 +101,15 @@ def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
         for i, row in zip(at.tolist(), words, strict=True):
             packed[i] = row.tobytes()
     block_of, places = np.nonzero(outside)
-    values = over[outside].astype("<u4")
-    ends = np.cumsum(heads["exceptions"], dtype=np.int64).tolist()
-    parts, begin = [], 0
-    for i in range(blocks):
-        end = ends[i]
-        parts.append(
-            heads[i].tobytes() + packed[i] + places[begin:end].astype("<u2").tobytes() + values[begin:end].tobytes()
-        )
+    # Slices of bytes are cheaper than those of arrays, and there are three per block.
+    head, place, value = heads.tobytes(), places.astype("<u2").tobytes(), over[outside].astype("<u4").tobytes()
+    ends = np.cumsum(heads["exceptions"], dtype=np.int64)
+    parts, begin, wide = [], 0, _BLOCK.itemsize
+    for i, end in enumerate(ends.tolist()):
+        parts += (head[wide * i : wide * (i + 1)], packed[i], place[2 * begin : 2 * end], value[4 * begin : 4 * end])
         begin = end
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype("<u8")
-    return starts, b"".join(parts)
+    sizes = wide + BLOCK // 8 * widths.astype(np.int64) + 6 * heads["exceptions"].astype(np.int64)
+    return np.concatenate(([0], np.cumsum(sizes))).astype("<u8"), b"".join(parts)
 
 
 def unpack_blocks(index: np.ndarray, body: bytes, first: int, last: int) -> np.ndarray:
